@@ -10,6 +10,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    from barloom.catalog import data, features
+    from barloom.catalog import data, evaluation, features, forecasts
 
-    return {**data.QUERIES, **features.QUERIES}
+    return {**data.QUERIES, **features.QUERIES, **forecasts.QUERIES, **evaluation.QUERIES}

@@ -21,14 +21,15 @@ Build = Callable[[DataFrame, WindowSpec], DataFrame]
 
 
 def windowed(
-    build: Build, before: int, after: int = 0, inputs: tuple[str, ...] = ("close",), *, heavy: bool = False
+    build: Build, before: int, after: int = 0, inputs: tuple[str, ...] = ("close",), *, heavy: bool = False,
+    digits: int = 6,
 ) -> Query:
     """Query that adds one feature family to hourly bars and drops the input columns."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         bars = bars_1h(spark, sf_dir)
         out = over_chunks(bars, HOURLY, before, after, build, columns=[*KEYS, *inputs], heavy=heavy)
-        return finish(out.drop(*inputs))
+        return finish(out.drop(*inputs), digits)
 
     return query
 
@@ -38,7 +39,10 @@ def columns(make: Callable[[WindowSpec], dict[str, Column]]) -> Build:
 
 
 def rolled(*stats: str) -> Query:
-    return windowed(lambda df, w: rolling.with_rolling(df, w, "close", rolling.WINDOWS, stats), 240, heavy=True)
+    # a digit more than elsewhere: some ratios of two-decimal prices end in a 5 at the seventh place
+    return windowed(
+        lambda df, w: rolling.with_rolling(df, w, "close", rolling.WINDOWS, stats), 240, heavy=True, digits=7
+    )
 
 
 def scalar(make: Callable[[], dict[str, Column]]) -> Query:
@@ -95,11 +99,11 @@ def persistence_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def basic_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(features.basic_features(bars_1h(spark, sf_dir), HOURLY))
+    return finish(features.basic_features(bars_1h(spark, sf_dir), HOURLY), 7)
 
 
 def enhanced_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(features.enhanced_features(bars_1h(spark, sf_dir), HOURLY))
+    return finish(features.enhanced_features(bars_1h(spark, sf_dir), HOURLY), 7)
 
 
 HLC = ("high", "low", "close")

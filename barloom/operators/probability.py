@@ -37,7 +37,7 @@ def error_ensemble(bars: DataFrame, layout: Layout, horizons: Sequence[int], mem
         cols |= {f"_steps_{h}": F.collect_list(f"_step_{h}").over(frame) for h in horizons}
         return df.withColumns(cols)
 
-    wide = over_chunks(bars, layout, members + max(horizons), max(horizons), build, columns=["series", "ts", "close"])
+    wide = over_chunks(bars, layout, members + max(horizons), max(horizons), build, columns=["series", "ts", "close"], heavy=True)
     per_horizon = F.array(
         *[
             F.struct(
@@ -150,11 +150,40 @@ def event_outcome(actual: Column, op: Column, low: Column, high: Column) -> Colu
     return F.when(present(actual), hit.cast("int"))
 
 
+def with_cdf(df: DataFrame, name: str, threshold: Column) -> DataFrame:
+    """Add P(x < threshold) under the percentile grid of ``members`` (see ``arrays.grid_cdf``).
+
+    The grid itself is never built. The members give the level at which their quantile line
+    crosses the threshold, hence the grid segment, and only its two ends are interpolated.
+    """
+    members = F.col("members")
+    count, low, value = (F.col(f"_{name}_{x}") for x in ("count", "segment", "threshold"))
+    df = df.withColumn(f"_{name}_threshold", threshold)
+    df = df.withColumn(f"_{name}_count", F.size(F.filter(members, lambda v: v < value)))
+    a, b = F.get(members, count - 1), F.get(members, count)
+    level = (count - 1 + (value - a) / (b - a)) / (F.size(members) - 1)
+    segment = F.when(count == 0, F.lit(0.0)).when(count == F.size(members), F.lit(99.0)).otherwise(F.ceil(level * 100) - 1)
+    df = df.withColumn(f"_{name}_segment", F.least(F.greatest(segment, F.lit(0.0)), F.lit(99.0)))
+    df = df.withColumns(
+        {
+            f"_{name}_a": sorted_quantile(members, low / 100),
+            f"_{name}_b": sorted_quantile(members, F.least((low + 1) / 100, F.lit(1.0))),
+        }
+    )
+    share = (value - F.col(f"_{name}_a")) / (F.col(f"_{name}_b") - F.col(f"_{name}_a"))
+    inner = (low + F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0))) / 100
+    df = df.withColumn(name, F.when(low == 0, F.lit(0.0)).when(low == 99, F.lit(1.0)).otherwise(inner))
+    return df.drop(*[f"_{name}_{x}" for x in ("threshold", "count", "segment", "a", "b")])
+
+
 def _scored(asked: DataFrame) -> DataFrame:
     op, low, high = F.col("op"), F.col("low"), F.col("high")
-    return asked.select(
+    ranged = with_cdf(with_cdf(asked, "_under", low), "_over", F.when(op == "between", high))
+    under, over = F.col("_under"), F.col("_over")
+    chance = F.when(op == "between", over - under).when(op == "above", 1 - under).when(op == "below", under)
+    return ranged.select(
         "series", "ts", "horizon", "query",
-        event_probability(F.col("grid"), op, low, high).alias("probability"),
+        F.coalesce(chance, F.lit(0.0)).alias("probability"),
         event_outcome(F.col("actual"), op, low, high).alias("event"),
     )
 
@@ -163,8 +192,8 @@ def relative_probabilities(
     forecasts: DataFrame, percents: Sequence[float] = (0.5, 1.0), band: float = 0.2
 ) -> DataFrame:
     """Event probabilities for thresholds relative to each row's own close."""
-    gridded = forecasts.withColumn("grid", quantile_grid(F.col("members")))
-    return _scored(gridded.select("series", "ts", "horizon", "actual", "grid", F.inline(relative_rules(percents, band))))
+    rules = F.inline(relative_rules(percents, band))
+    return _scored(forecasts.select("series", "ts", "horizon", "actual", "members", rules))
 
 
 def event_probabilities(forecasts: DataFrame, thresholds: DataFrame) -> DataFrame:
@@ -173,9 +202,10 @@ def event_probabilities(forecasts: DataFrame, thresholds: DataFrame) -> DataFram
     The queries of a series travel as one short array, so the join meets each forecast once
     and the fan-out happens row-locally.
     """
-    per_series = thresholds.groupBy("series").agg(F.collect_list(F.struct("query", "op", "low", "high")).alias("_rules"))
-    gridded = forecasts.withColumn("grid", quantile_grid(F.col("members")))
-    return _scored(attach(gridded, per_series).select("series", "ts", "horizon", "actual", "grid", F.inline("_rules")))
+    rule = F.struct("query", "op", "low", "high")
+    per_series = thresholds.groupBy("series").agg(F.collect_list(rule).alias("_rules"))
+    joined = attach(forecasts, per_series)
+    return _scored(joined.select("series", "ts", "horizon", "actual", "members", F.inline("_rules")))
 
 
 def probability_summary(probabilities: DataFrame, by: Sequence[str] = ("query", "horizon")) -> DataFrame:

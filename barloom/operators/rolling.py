@@ -96,8 +96,17 @@ def _merged_moments(w: WindowSpec, column: str, a: int, b: int) -> dict[str, Col
     }
 
 
-def with_moments(df: DataFrame, w: WindowSpec, column: str, windows: Sequence[int]) -> DataFrame:
-    """Add the hidden moment columns ``_<column>_<moment>_<N>`` for every frame length.
+def _frame_run(w: WindowSpec, column: str, n: int) -> Column:
+    return F.sort_array(F.collect_list(column).over(trailing(w, n)))
+
+
+def _merged_run(w: WindowSpec, column: str, a: int, b: int) -> Column:
+    """The last a+b values in order, from two runs that are already sorted."""
+    return F.sort_array(F.concat(F.lag(f"_{column}_run_{a}", b).over(w), F.col(f"_{column}_run_{b}")))
+
+
+def with_frames(df: DataFrame, w: WindowSpec, column: str, windows: Sequence[int], *, moments: bool, runs: bool) -> DataFrame:
+    """Add hidden moment columns and sorted runs ``_<column>_<moment>_<N>`` for every frame length.
 
     Long frames are put together from two shorter ones where the lengths allow it
     (240 = 120 + 120), which costs one lag per row instead of visiting N rows per row.
@@ -105,8 +114,15 @@ def with_moments(df: DataFrame, w: WindowSpec, column: str, windows: Sequence[in
     built: list[int] = []
     for n in sorted(set(windows)):
         parts = _split(n, built)
-        moments = _frame_moments(w, column, n) if parts is None else _merged_moments(w, column, *parts)
-        df = df.withColumns({f"_{column}_{k}_{n}": c for k, c in moments.items()})
+        hidden: dict[str, Column] = {}
+        if moments:
+            found = _frame_moments(w, column, n) if parts is None else _merged_moments(w, column, *parts)
+            hidden |= {f"_{column}_{k}_{n}": c for k, c in found.items()}
+        if runs:
+            hidden[f"_{column}_run_{n}"] = (
+                _frame_run(w, column, n) if parts is None else _merged_run(w, column, *parts)
+            )
+        df = df.withColumns(hidden)
         built.append(n)
     return df
 
@@ -134,31 +150,10 @@ def rolling_columns(column: str, n: int) -> dict[str, Column]:
     }
 
 
-def with_medians(df: DataFrame, w: WindowSpec, column: str, windows: Sequence[int]) -> DataFrame:
-    """Add ``<column>_median_<N>``.
-
-    Frames are kept as sorted arrays; a long one merges two shorter sorted runs, so the cost
-    per row stays linear in N and inside the JVM.
-    """
-    built: list[int] = []
-    for n in sorted(set(windows)):
-        parts = _split(n, built)
-        if parts is None:
-            ordered = F.sort_array(F.collect_list(column).over(trailing(w, n)))
-        else:
-            older, newer = parts
-            runs = F.concat(F.lag(f"_{column}_run_{older}", newer).over(w), F.col(f"_{column}_run_{newer}"))
-            ordered = F.sort_array(runs)
-        df = df.withColumn(f"_{column}_run_{n}", ordered)
-        built.append(n)
-
-    def middle(n: int) -> Column:
-        run = F.col(f"_{column}_run_{n}")
-        pair = F.get(run, F.lit((n - 1) // 2)) + F.get(run, F.lit(n // 2))
-        return F.when(F.size(run) == n, pair / 2)
-
-    df = df.withColumns({f"{column}_median_{n}": middle(n) for n in windows})
-    return df.drop(*[f"_{column}_run_{n}" for n in set(windows)])
+def median_column(column: str, n: int) -> Column:
+    run = F.col(f"_{column}_run_{n}")
+    middle = F.get(run, F.lit((n - 1) // 2)) + F.get(run, F.lit(n // 2))
+    return F.when(F.size(run) == n, middle / 2)
 
 
 def rolling_names(column: str, windows: Sequence[int], stats: Sequence[str]) -> list[str]:
@@ -169,14 +164,11 @@ def with_rolling(
     df: DataFrame, w: WindowSpec, column: str, windows: Sequence[int], stats: Sequence[str]
 ) -> DataFrame:
     """Add ``<column>_<stat>_<N>`` for the chosen statistics and frame lengths."""
-    if "median" in stats:
-        df = with_medians(df, w, column, windows)
-    if set(stats) == {"median"}:
-        return df
-    df = with_moments(df, w, column, windows)
+    runs, moments = "median" in stats, set(stats) != {"median"}
+    df = with_frames(df, w, column, windows, moments=moments, runs=runs)
     available: dict[str, Column] = {}
     for n in windows:
-        available.update(rolling_columns(column, n))
-    wanted = rolling_names(column, windows, [s for s in stats if s != "median"])
-    df = df.withColumns({name: available[name] for name in wanted})
-    return df.drop(*[f"_{column}_{k}_{n}" for k in MOMENTS for n in set(windows)])
+        available |= rolling_columns(column, n) if moments else {}
+        available |= {f"{column}_median_{n}": median_column(column, n)} if runs else {}
+    df = df.withColumns({name: available[name] for name in rolling_names(column, windows, stats)})
+    return df.drop(*[f"_{column}_{k}_{n}" for k in (*MOMENTS, "run") for n in set(windows)])

@@ -5,6 +5,9 @@ Each function adds columns inside one ``layout.over_chunks`` pass. Division by z
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
@@ -39,46 +42,91 @@ def from_row(first: int, value: Column) -> Column:
     return F.when(F.col("pos") >= first, value)
 
 
-def with_rsi(df: DataFrame, w: WindowSpec, periods: dict[str, int]) -> DataFrame:
+@dataclass(frozen=True)
+class Smoothed:
+    """An indicator that needs smoothing: columns before it, what to smooth, columns after it.
+
+    Indicators that are computed together share the window passes of one smoothing step.
+    """
+
+    inputs: dict[str, Column]
+    specs: list[Smooth]
+    outputs: dict[str, Column]
+
+
+def with_smoothed_indicators(df: DataFrame, w: WindowSpec, parts: Sequence[Smoothed]) -> DataFrame:
+    inputs = {k: c for p in parts for k, c in p.inputs.items()}
+    specs = [s for p in parts for s in p.specs]
+    df = df.withColumns(inputs) if inputs else df
+    df = with_smoothed(df, w, specs)
+    df = df.withColumns({k: c for p in parts for k, c in p.outputs.items()})
+    return df.drop(*inputs, *[s.name for s in specs])
+
+
+def rsi(w: WindowSpec, periods: dict[str, int]) -> Smoothed:
     """Relative strength index; the first bar counts as no change."""
     change = F.coalesce(F.col("close") - F.lag("close").over(w), F.lit(0.0))
-    df = df.withColumns({"_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0))})
     lengths = sorted(set(periods.values()))
-    df = with_smoothed(
-        df, w, [Smooth(f"_{side}_{n}", F.col(f"_{side}"), 1.0 / n) for n in lengths for side in ("gain", "loss")]
-    )
 
     def index(n: int) -> Column:
         gain, loss = F.col(f"_gain_{n}"), F.col(f"_loss_{n}")
         return from_row(n - 1, F.when(loss == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.try_divide(gain, loss))))
 
-    df = df.withColumns({name: index(n) for name, n in periods.items()})
-    return df.drop("_gain", "_loss", *[f"_{side}_{n}" for n in lengths for side in ("gain", "loss")])
+    return Smoothed(
+        {"_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0))},
+        [Smooth(f"_{side}_{n}", F.col(f"_{side}"), 1.0 / n) for n in lengths for side in ("gain", "loss")],
+        {name: index(n) for name, n in periods.items()},
+    )
 
 
-def with_macd(df: DataFrame, w: WindowSpec) -> DataFrame:
+def macd() -> Smoothed:
     close = F.col("close")
-    df = with_smoothed(
-        df, w, [Smooth("_fast", close, span_alpha(MACD_FAST)), Smooth("_slow", close, span_alpha(MACD_SLOW))]
-    )
-    df = df.withColumn("macd", from_row(MACD_SLOW - 1, F.col("_fast") - F.col("_slow")))
-    df = with_smoothed(df, w, [Smooth("_signal", F.col("macd"), span_alpha(MACD_SIGNAL), start=MACD_SLOW - 1)])
-    df = df.withColumn("macd_signal", from_row(MACD_SLOW + MACD_SIGNAL - 2, F.col("_signal")))
-    return df.withColumn("macd_diff", F.col("macd") - F.col("macd_signal")).drop("_fast", "_slow", "_signal")
+    specs = [Smooth("_fast", close, span_alpha(MACD_FAST)), Smooth("_slow", close, span_alpha(MACD_SLOW))]
+    return Smoothed({}, specs, {"macd": from_row(MACD_SLOW - 1, F.col("_fast") - F.col("_slow"))})
 
 
-def with_atr(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Average true range: mean of the first 14 ranges, then Wilder smoothing; 0 before that."""
+def macd_signal() -> Smoothed:
+    """Signal line over ``macd``: a second smoothing step."""
+    signal = from_row(MACD_SLOW + MACD_SIGNAL - 2, F.col("_signal"))
+    specs = [Smooth("_signal", F.col("macd"), span_alpha(MACD_SIGNAL), start=MACD_SLOW - 1)]
+    return Smoothed({}, specs, {"macd_signal": signal, "macd_diff": F.col("macd") - signal})
+
+
+def true_range(w: WindowSpec) -> Column:
     before = F.lag("close").over(w)
-    true_range = F.greatest(
-        F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)
-    )
+    return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
+
+
+def atr(w: WindowSpec) -> Smoothed:
+    """Average true range over ``_range``: mean of the first 14, then Wilder smoothing; 0 before that."""
     first = ATR_ROWS - 1
-    df = df.withColumn("_range", true_range)
+    # the mean range of the first rows seeds the recurrence, later rows enter as they are
     seed = F.avg("_range").over(trailing(w, ATR_ROWS))
-    df = df.withColumn("_input", F.when(F.col("pos") == first, seed).otherwise(F.col("_range")))
-    df = with_smoothed(df, w, [Smooth("_atr", F.col("_input"), 1.0 / ATR_ROWS, start=first)])
-    return df.withColumn("atr", F.coalesce(F.col("_atr"), F.lit(0.0))).drop("_range", "_input", "_atr")
+    value = F.when(F.col("pos") == first, F.col("_seed")).otherwise(F.col("_range"))
+    return Smoothed(
+        {"_seed": seed},
+        [Smooth("_atr", value, 1.0 / ATR_ROWS, start=first)],
+        {"atr": F.coalesce(F.col("_atr"), F.lit(0.0))},
+    )
+
+
+def with_rsi(df: DataFrame, w: WindowSpec, periods: dict[str, int]) -> DataFrame:
+    return with_smoothed_indicators(df, w, [rsi(w, periods)])
+
+
+def with_macd(df: DataFrame, w: WindowSpec) -> DataFrame:
+    return with_smoothed_indicators(with_smoothed_indicators(df, w, [macd()]), w, [macd_signal()])
+
+
+def with_atr(df: DataFrame, w: WindowSpec) -> DataFrame:
+    return with_smoothed_indicators(df.withColumn("_range", true_range(w)), w, [atr(w)]).drop("_range")
+
+
+def with_oscillators(df: DataFrame, w: WindowSpec, periods: dict[str, int]) -> DataFrame:
+    """RSI, MACD and ATR in two smoothing steps."""
+    ranged = df.withColumn("_range", true_range(w))
+    df = with_smoothed_indicators(ranged, w, [rsi(w, periods), macd(), atr(w)]).drop("_range")
+    return with_smoothed_indicators(df, w, [macd_signal()])
 
 
 def bollinger_columns(w: WindowSpec) -> dict[str, Column]:

@@ -122,9 +122,7 @@ def technical_table(
 
     def build(df: DataFrame, w: WindowSpec) -> DataFrame:
         df = rolling.with_rolling(df, w, "close", windows, stats)
-        df = technical.with_rsi(df, w, rsi)
-        df = technical.with_macd(df, w)
-        df = technical.with_atr(df, w)
+        df = technical.with_oscillators(df, w, rsi)
         df = technical.with_stochastic(df, w)
         if "cci" in wanted:
             df = technical.with_cci(df, w)

@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def registered() -> dict[str, str]:
-    from oracles import data, features
+    from oracles import data, evaluation, features, forecasts
 
-    return {**data.ORACLES, **features.ORACLES}
+    return {**data.ORACLES, **features.ORACLES, **forecasts.ORACLES, **evaluation.ORACLES}

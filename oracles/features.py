@@ -145,8 +145,8 @@ def picked(cols: dict[str, str]) -> str:
     return ", ".join(f"{sql} AS {name}" for name, sql in cols.items())
 
 
-def select(cols: dict[str, str], with_: str = WITH_1H, source: str = "bars") -> str:
-    return shaped(f"{with_} SELECT series, ts, {picked(cols)} FROM {source}", " ".join(cols))
+def select(cols: dict[str, str], with_: str = WITH_1H, source: str = "bars", digits: int = 6) -> str:
+    return shaped(f"{with_} SELECT series, ts, {picked(cols)} FROM {source}", " ".join(cols), digits=digits)
 
 
 def whole(cols: dict[str, str]) -> str:
@@ -190,7 +190,7 @@ def complete(windows: tuple[int, ...], keep: list[str]) -> str:
     names = ["open", "high", "low", "close", "volume", *keep]
     doubles = [c for c in names if c not in INTS]
     sql = f"{WITH_STAGES}, framed AS ({framed}), smooth AS ({smooth}) SELECT series, ts, {', '.join(names)} FROM framed JOIN smooth USING (series, ts)"
-    return shaped(sql, " ".join(doubles), " ".join(c for c in names if c in INTS))
+    return shaped(sql, " ".join(doubles), " ".join(c for c in names if c in INTS), 7)
 
 
 BASIC = [
@@ -222,11 +222,11 @@ FROM ({clean_table(BARS_1D)}) GROUP BY series""",
     "feature_columns": select({k: SIMPLE[k] for k in list(SIMPLE)[:8]}),
     "targets": select(TARGET),
     "lag_features": select(LAG),
-    "rolling_mean_std": select(stats("ma", "std")),
-    "rolling_min_max_range": select(stats("min", "max", "range")),
-    "rolling_median": select(stats("median")),
-    "rolling_skew_kurt": select(stats("skew", "kurt")),
-    "rolling_rel_zscore": select(stats("rel_ma", "zscore")),
+    "rolling_mean_std": select(stats("ma", "std"), digits=7),
+    "rolling_min_max_range": select(stats("min", "max", "range"), digits=7),
+    "rolling_median": select(stats("median"), digits=7),
+    "rolling_skew_kurt": select(stats("skew", "kurt"), digits=7),
+    "rolling_rel_zscore": select(stats("rel_ma", "zscore"), digits=7),
     "volume_features": select(VOLUME),
     "returns": select({**RETURN, **CHANGES}),
     "candle_shape": select(CANDLE),

@@ -62,7 +62,8 @@ def difference(actual: pd.DataFrame, expected: pd.DataFrame) -> str | None:
         same = (a[c] == e[c]) | (a[c].isna() & e[c].isna())
         if not same.all():
             i = (~same).idxmax()
-            return f"{(~same).sum()} values differ in {c}: {a.loc[i].to_dict()} != {e.loc[i].to_dict()}"
+            keys = {k: a.loc[i, k] for k in a.columns if k in ("series", "ts", "horizon", "query", "model", "split")}
+            return f"{(~same).sum()} values differ in {c}, first at {keys}: {a.loc[i, c]!r} != {e.loc[i, c]!r}"
     return None
 
 
