@@ -41,49 +41,49 @@ def split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics.long_predictions(assigned, {"persistence": "close"}, HORIZONS, ["split"]),
         ["model", "series", "split", "horizon"],
     )
-    return finish(errors.join(windows.drop("raw_split"), ["series", "split"]).join(tested, ["series", "split"]), 4)
+    return finish(errors.join(windows.drop("raw_split"), ["series", "split"]).join(tested, ["series", "split"]))
 
 
 def metrics_by_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.mean_errors(by_split(spark, sf_dir), ["horizon"]), 4)
+    return finish(metrics.mean_errors(by_split(spark, sf_dir), ["horizon"]))
 
 
 def metrics_by_model_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.mean_errors(by_split(spark, sf_dir), ["model", "horizon"]), 4)
+    return finish(metrics.mean_errors(by_split(spark, sf_dir), ["model", "horizon"]))
 
 
 def metrics_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = metrics.pivot_errors(by_split(spark, sf_dir), "model", "horizon", HORIZONS)
-    return finish(wide.toDF("model", *[f"h{h}" for h in HORIZONS]), 4)
+    return finish(wide.toDF("model", *[f"h{h}" for h in HORIZONS]))
 
 
 def split_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = metrics.pivot_errors(by_split(spark, sf_dir), "split", "horizon", HORIZONS)
-    return finish(wide.toDF("split", *[f"h{h}" for h in HORIZONS]), 4)
+    return finish(wide.toDF("split", *[f"h{h}" for h in HORIZONS]))
 
 
 def strict_mape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.strict_mape(forecasts(spark, sf_dir), ["model", "horizon"]), 4)
+    return finish(metrics.strict_mape(forecasts(spark, sf_dir), ["model", "horizon"]))
 
 
 def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.leaderboard(by_split(spark, sf_dir)), 4)
+    return finish(metrics.leaderboard(by_split(spark, sf_dir)))
 
 
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.leaderboard(by_split(spark, sf_dir)).orderBy("avg_rmse", "model").limit(1), 4)
+    return finish(metrics.leaderboard(by_split(spark, sf_dir)).orderBy("avg_rmse", "model").limit(1))
 
 
 def model_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.model_detail(by_split(spark, sf_dir)), 4)
+    return finish(metrics.model_detail(by_split(spark, sf_dir)))
 
 
 def summary_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.overall_summary(by_split(spark, sf_dir)), 4)
+    return finish(metrics.overall_summary(by_split(spark, sf_dir)))
 
 
 def boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.box_stats(by_split(spark, sf_dir), "rmse", ["model", "series"]), 4)
+    return finish(metrics.box_stats(by_split(spark, sf_dir), "rmse", ["model", "series"]))
 
 
 def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:

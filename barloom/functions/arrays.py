@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,20 +38,40 @@ def quantile_grid(sorted_values: Column) -> Column:
     )
 
 
-def grid_cdf(grid: Column, threshold: Column) -> Column:
-    """P(x < threshold) for x drawn by inverting the quantile grid, ends clamped.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, computed once however often the body uses it.
 
-    ``grid`` ascends, so with m values below the threshold the crossing lies in segment
-    m .. m+1; that segment has positive width, flat stretches need no special case.
+    A plain column would be copied into every place that uses it when the optimizer merges
+    projections or moves a filter below them.
     """
-    below = F.size(F.filter(grid, lambda v: v < threshold))
-    a = F.get(grid, below - 1)
-    b = F.get(grid, below)
-    return (
-        F.when(below == 0, F.lit(0.0))
-        .when(below == GRID_POINTS, F.lit(1.0))
-        .otherwise((below + (threshold - a) / (b - a)) / F.lit(100.0))
-    )
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def ensemble_cdf(members: Column, threshold: Column) -> Column:
+    """P(x < threshold) for x drawn by inverting the percentile grid of ascending ``members``.
+
+    With m grid values below the threshold the probability is 0 for m = 0, 1 for m = 99, else
+    (m + share of segment m .. m+1 below the threshold) / 100. The grid itself is never built:
+    the members give the level at which their quantile line crosses the threshold, hence m,
+    and only the two ends of that segment are interpolated.
+    """
+    n = F.size(members)
+
+    def segment(count: Column) -> Column:
+        a, b = F.get(members, count - 1), F.get(members, count)
+        level = (count - 1 + F.try_divide(threshold - a, b - a)) / (n - 1)
+        m = F.least(F.greatest(F.ceil(level * 100) - 1, F.lit(0)), F.lit(GRID_POINTS))
+        return F.when(count == 0, F.lit(0)).when(count == n, F.lit(GRID_POINTS)).otherwise(m)
+
+    def probability(m: Column) -> Column:
+        def share(a: Column) -> Column:
+            b = sorted_quantile(members, (m + 1) / 100)
+            return F.coalesce(let(b, lambda top: F.try_divide(threshold - a, top - a)), F.lit(0.0))
+
+        part = F.least(F.greatest(let(sorted_quantile(members, m / 100), share), F.lit(0.0)), F.lit(1.0))
+        return F.when(m == 0, F.lit(0.0)).when(m == GRID_POINTS, F.lit(1.0)).otherwise((m + part) / 100)
+
+    return let(let(F.size(F.filter(members, lambda v: v < threshold)), segment), probability)
 
 
 def interpolate(x: Column, xs: Column, ys: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions import labels
-from barloom.functions.arrays import grid_cdf, quantile_grid, sorted_quantile
+from barloom.functions.arrays import GRID_POINTS, ensemble_cdf, interpolate, quantile_grid, sorted_quantile
 from barloom.operators.layout import Layout, attach, over_chunks
 from barloom.operators.metrics import present
 
@@ -129,11 +129,11 @@ def relative_rules(percents: Sequence[float], band: float) -> Column:
     return F.array(*rules)
 
 
-def event_probability(grid: Column, op: Column, low: Column, high: Column) -> Column:
+def event_probability(members: Column, op: Column, low: Column, high: Column) -> Column:
     """P(x >= low), P(x < low) or P(low <= x < high); 0 for any other rule."""
-    under = grid_cdf(grid, low)
+    under = ensemble_cdf(members, low)
     return (
-        F.when(op == "between", grid_cdf(grid, high) - under)
+        F.when(op == "between", ensemble_cdf(members, high) - under)
         .when(op == "above", 1 - under)
         .when(op == "below", under)
         .otherwise(F.lit(0.0))
@@ -150,40 +150,11 @@ def event_outcome(actual: Column, op: Column, low: Column, high: Column) -> Colu
     return F.when(present(actual), hit.cast("int"))
 
 
-def with_cdf(df: DataFrame, name: str, threshold: Column) -> DataFrame:
-    """Add P(x < threshold) under the percentile grid of ``members`` (see ``arrays.grid_cdf``).
-
-    The grid itself is never built. The members give the level at which their quantile line
-    crosses the threshold, hence the grid segment, and only its two ends are interpolated.
-    """
-    members = F.col("members")
-    count, low, value = (F.col(f"_{name}_{x}") for x in ("count", "segment", "threshold"))
-    df = df.withColumn(f"_{name}_threshold", threshold)
-    df = df.withColumn(f"_{name}_count", F.size(F.filter(members, lambda v: v < value)))
-    a, b = F.get(members, count - 1), F.get(members, count)
-    level = (count - 1 + (value - a) / (b - a)) / (F.size(members) - 1)
-    segment = F.when(count == 0, F.lit(0.0)).when(count == F.size(members), F.lit(99.0)).otherwise(F.ceil(level * 100) - 1)
-    df = df.withColumn(f"_{name}_segment", F.least(F.greatest(segment, F.lit(0.0)), F.lit(99.0)))
-    df = df.withColumns(
-        {
-            f"_{name}_a": sorted_quantile(members, low / 100),
-            f"_{name}_b": sorted_quantile(members, F.least((low + 1) / 100, F.lit(1.0))),
-        }
-    )
-    share = (value - F.col(f"_{name}_a")) / (F.col(f"_{name}_b") - F.col(f"_{name}_a"))
-    inner = (low + F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0))) / 100
-    df = df.withColumn(name, F.when(low == 0, F.lit(0.0)).when(low == 99, F.lit(1.0)).otherwise(inner))
-    return df.drop(*[f"_{name}_{x}" for x in ("threshold", "count", "segment", "a", "b")])
-
-
 def _scored(asked: DataFrame) -> DataFrame:
     op, low, high = F.col("op"), F.col("low"), F.col("high")
-    ranged = with_cdf(with_cdf(asked, "_under", low), "_over", F.when(op == "between", high))
-    under, over = F.col("_under"), F.col("_over")
-    chance = F.when(op == "between", over - under).when(op == "above", 1 - under).when(op == "below", under)
-    return ranged.select(
+    return asked.select(
         "series", "ts", "horizon", "query",
-        F.coalesce(chance, F.lit(0.0)).alias("probability"),
+        event_probability(F.col("members"), op, low, high).alias("probability"),
         event_outcome(F.col("actual"), op, low, high).alias("event"),
     )
 
@@ -230,3 +201,19 @@ def interval_coverage(intervals: DataFrame, by: Sequence[str] = ("level", "horiz
             F.count(F.lit(1)).alias("n_samples"),
         )
     )
+
+
+def sampled_distribution(forecasts: DataFrame, samples: int, seed: int = 42) -> DataFrame:
+    """``samples`` draws per forecast from its percentile grid: long ``(series, ts, horizon, sample, value)``.
+
+    The event probabilities above are the exact expectation of counting such draws.
+    """
+    levels = F.transform(F.sequence(F.lit(1), F.lit(GRID_POINTS)), lambda k: k / F.lit(100.0))
+    drawn = forecasts.select(
+        "series",
+        "ts",
+        "horizon",
+        quantile_grid(F.col("members")).alias("_grid"),
+        F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("sample"),
+    ).withColumn("_u", F.rand(seed))
+    return drawn.select("series", "ts", "horizon", "sample", interpolate(F.col("_u"), levels, F.col("_grid")).alias("value"))

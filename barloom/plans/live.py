@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.arrays import quantile_grid, sorted_quantile
+from barloom.functions.arrays import sorted_quantile
 from barloom.functions.labels import percent_label
 from barloom.operators.layout import attach
 from barloom.operators.probability import INTERVALS, QUANTILES, event_probability
@@ -51,7 +51,7 @@ def forecast_documents(
     per_series = thresholds.groupBy("series").agg(
         F.sort_array(F.collect_list(F.struct("query", "op", "low", "high"))).alias("_rules")
     )
-    scored = attach(forecasts.withColumn("_grid", quantile_grid(members)), per_series)
+    scored = attach(forecasts, per_series)
     row = F.struct(
         "horizon",
         "prediction",
@@ -59,7 +59,7 @@ def forecast_documents(
         F.array(*[sorted_quantile(members, (1 - level) / 2) for level in levels]).alias("lower"),
         F.array(*[sorted_quantile(members, 1 - (1 - level) / 2) for level in levels]).alias("upper"),
         F.transform(
-            "_rules", lambda r: event_probability(F.col("_grid"), r["op"], r["low"], r["high"])
+            "_rules", lambda r: event_probability(members, r["op"], r["low"], r["high"])
         ).alias("odds"),
         F.transform("_rules", lambda r: r["query"]).alias("queries"),
     )

@@ -54,51 +54,45 @@ SELECT m.*, train_start, train_end, test_start, test_end, train_samples,
   (SELECT count(*) FROM tested t WHERE t.series = m.series AND t.split = m.split) AS test_samples
 FROM metrics m JOIN splits USING (series, split)""",
         "rmse mae mape",
-        "horizon",
-        digits=4,
+        "horizon"
     ),
     "metrics_by_horizon": shaped(
-        f"{METRICS} SELECT horizon, {MEANS} FROM metrics GROUP BY horizon", "rmse mae mape", "horizon", digits=4
+        f"{METRICS} SELECT horizon, {MEANS} FROM metrics GROUP BY horizon", "rmse mae mape", "horizon"
     ),
     "metrics_by_model_horizon": shaped(
-        f"{METRICS} SELECT model, horizon, {MEANS} FROM metrics GROUP BY model, horizon", "rmse mae mape", "horizon", digits=4
+        f"{METRICS} SELECT model, horizon, {MEANS} FROM metrics GROUP BY model, horizon", "rmse mae mape", "horizon"
     ),
-    "metrics_pivot": shaped(f"{METRICS} SELECT model, {PIVOT} FROM metrics GROUP BY model", WIDE, digits=4),
-    "split_heatmap": shaped(f"{METRICS} SELECT split, {PIVOT} FROM metrics GROUP BY split", WIDE, digits=4),
+    "metrics_pivot": shaped(f"{METRICS} SELECT model, {PIVOT} FROM metrics GROUP BY model", WIDE),
+    "split_heatmap": shaped(f"{METRICS} SELECT split, {PIVOT} FROM metrics GROUP BY split", WIDE),
     "strict_mape": shaped(
         f"""{METRICS} SELECT model, horizon, CASE WHEN count(*) FILTER (actual = 0) = 0
   THEN avg(abs(actual - prediction) / nullif(abs(actual), 0)) * 100 END AS mape FROM forecasts GROUP BY model, horizon""",
         "mape",
-        "horizon",
-        digits=4,
+        "horizon"
     ),
     "leaderboard": shaped(
         f"{BOARD} SELECT *, row_number() OVER (ORDER BY avg_rmse, model) AS rank FROM board",
         "avg_rmse avg_mae avg_mape",
-        "best_horizon worst_horizon",
-        digits=4,
+        "best_horizon worst_horizon"
     ),
     "best_model": shaped(
         f"{BOARD} SELECT *, 1::BIGINT AS rank FROM board ORDER BY avg_rmse LIMIT 1",
         "avg_rmse avg_mae avg_mape",
-        "best_horizon worst_horizon",
-        digits=4,
+        "best_horizon worst_horizon"
     ),
     "model_detail": shaped(
         f"""{METRICS} SELECT model, count(*) AS total_predictions, avg(rmse) AS mean_rmse, stddev_samp(rmse) AS std_rmse,
   avg(mae) AS mean_mae, stddev_samp(mae) AS std_mae, avg(mape) AS mean_mape, stddev_samp(mape) AS std_mape, {EXTREMES},
   min(rmse) AS best_rmse, max(rmse) AS worst_rmse FROM metrics GROUP BY model""",
         "mean_rmse std_rmse mean_mae std_mae mean_mape std_mape best_rmse worst_rmse",
-        "best_horizon worst_horizon",
-        digits=4,
+        "best_horizon worst_horizon"
     ),
     "summary_row": shaped(
         f"""{METRICS}, h AS (SELECT model, horizon, {MEANS} FROM metrics GROUP BY model, horizon)
 SELECT model, {AVGS}, first(horizon ORDER BY rmse, horizon) AS best_horizon,
   first(horizon ORDER BY rmse DESC, horizon) AS worst_horizon, count(*) AS horizons FROM h GROUP BY model""",
         "avg_rmse avg_mae avg_mape",
-        "best_horizon worst_horizon",
-        digits=4,
+        "best_horizon worst_horizon"
     ),
     "boxplot_stats": shaped(
         f"""{METRICS}, q AS (SELECT model, series, quantile_cont(rmse, 0.25) AS q1, quantile_cont(rmse, 0.5) AS median,
@@ -107,8 +101,7 @@ SELECT model, series, q1, median, q3, min(rmse) FILTER (rmse >= q1 - 1.5::DOUBLE
   max(rmse) FILTER (rmse <= q3 + 1.5::DOUBLE * (q3 - q1)) AS whisker_high,
   count(*) FILTER (rmse < q1 - 1.5::DOUBLE * (q3 - q1) OR rmse > q3 + 1.5::DOUBLE * (q3 - q1)) AS outliers
 FROM metrics JOIN q USING (model, series) GROUP BY model, series, q1, median, q3""",
-        "q1 median q3 whisker_low whisker_high",
-        digits=4,
+        "q1 median q3 whisker_low whisker_high"
     ),
     "residuals": shaped(
         f"{METRICS} SELECT series, ts, split, model, horizon, actual - prediction AS residual FROM forecasts",
