@@ -10,6 +10,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    from barloom.catalog import data, evaluation, features, forecasts, learning
+    from barloom.catalog import data, evaluation, features, forecasts, learning, streams
 
-    return {**data.QUERIES, **features.QUERIES, **forecasts.QUERIES, **evaluation.QUERIES, **learning.QUERIES}
+    return {**data.QUERIES, **features.QUERIES, **forecasts.QUERIES, **evaluation.QUERIES, **learning.QUERIES, **streams.QUERIES}

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import metrics, scaling, splits
-from barloom.operators.layout import Layout, positions
+from barloom.operators.layout import Layout, attach, positions
 from barloom.operators.probability import QUANTILES
 from barloom.plans.features import FeatureSpec, reconcile
 
@@ -238,7 +238,7 @@ def walk_forward(
     cuts = splits.walk_forward_splits(sizes, n_splits, test_size).drop("train_rows")
     out = []
     for i in range(1, n_splits + 1):
-        rows = splits.attach(placed, cuts.where(F.col("split") == i))
+        rows = attach(placed, cuts.where(F.col("split") == i))
         train, test = rows.where("pos < test_start_pos"), rows.where("pos >= test_start_pos and pos < test_end_pos")
         if train.isEmpty():
             break
