@@ -9,6 +9,7 @@ from barloom.catalog import Query
 from barloom.catalog.tables import HOURLY, bars_1h, finish
 from barloom.operators import metrics, scaling, splits
 from barloom.plans import features
+from barloom.session import materialized
 
 HORIZONS = features.SIMPLE_HORIZONS
 MODELS = {"persistence": "close", "moving_average_5": "close_ma_5", "moving_average_20": "close_ma_20"}
@@ -17,7 +18,9 @@ MIN_TRAIN = 150
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.clean_rows(features.simple_features(bars_1h(spark, sf_dir), HOURLY), features.simple_spec())
+    """The feature table of the evaluation: written once, then read column by column."""
+    rows = features.clean_rows(features.simple_features(bars_1h(spark, sf_dir), HOURLY), features.simple_spec())
+    return materialized(rows, "features")
 
 
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:

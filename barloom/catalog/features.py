@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.catalog import Query
-from barloom.catalog.tables import DAILY, HOURLY, bars_1d, bars_1h, finish
+from barloom.catalog.tables import DAILY, HOURLY, SECONDS, bars_1d, bars_1h, bars_1s, finish, supplier_bars
 from barloom.functions import timeparts
 from barloom.operators import rolling, technical
 from barloom.operators.layout import over_chunks
@@ -106,12 +106,27 @@ def enhanced_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(features.enhanced_features(bars_1h(spark, sf_dir), HOURLY), 7)
 
 
+def second_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simple features and targets over one-second bars, a table that grows with the events."""
+    return finish(features.simple_features(bars_1s(spark, sf_dir), SECONDS))
+
+
+def supplier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persistence errors of every supplier's daily bars."""
+    spec = features.simple_spec()
+    rows = features.clean_rows(features.simple_features(supplier_bars(spark, sf_dir), DAILY), spec)
+    forecasts = long_predictions(rows, {"persistence": "close"}, spec.horizons)
+    return finish(error_metrics(forecasts, ["series", "horizon"]), 4)
+
+
 HLC = ("high", "low", "close")
 LONG = technical.HISTORY_ROWS
 
 QUERIES: dict[str, Query] = {
     "persistence_metrics": persistence_metrics,
     "simple_features": simple_features,
+    "second_features": second_features,
+    "supplier_metrics": supplier_metrics,
     "clean_rows": clean_rows,
     "feature_columns": feature_columns,
     "targets": windowed(columns(rolling.target_columns), 0, max(rolling.HORIZONS)),

@@ -13,16 +13,15 @@ from barloom.catalog.forecasts import ensemble
 from barloom.catalog.tables import HOURLY, finish
 from barloom.operators import calibration, probability, splits
 from barloom.plans import features, models
-from barloom.session import materialized, scratch_path
+from barloom.session import scratch_path
 
 HORIZONS = (1, 5, 20)
 SPEC = features.FeatureSpec(features.simple_spec().features, HORIZONS)
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows of the feature table, which is written once and read back."""
-    labelled = splits.positional_split(clean(spark, sf_dir), HOURLY)
-    rows = materialized(labelled, "features")
+    """Training and test rows of the feature table."""
+    rows = splits.positional_split(clean(spark, sf_dir), HOURLY)
     return rows.where("part = 'train'").drop("part"), rows.where("part = 'test'").drop("part")
 
 
@@ -76,13 +75,13 @@ def sampled_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rolling_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = materialized(clean(spark, sf_dir), "features")
+    table = clean(spark, sf_dir)
     fit_one = partial(models.fit, spec=SPEC, kind="ridge")
     return finish(models.rolling_validation(table, fit_one, min_train_rows=150, every=7))
 
 
 def walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = materialized(clean(spark, sf_dir), "features")
+    table = clean(spark, sf_dir)
     return finish(models.walk_forward(table, partial(models.fit, spec=SPEC, kind="linear"), HOURLY, n_splits=3))
 
 

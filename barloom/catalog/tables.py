@@ -12,6 +12,7 @@ from barloom.sources.bars import resample
 
 DAILY = Layout(step_seconds=86_400, chunk_rows=65_536)
 HOURLY = Layout(step_seconds=3_600, chunk_rows=65_536)
+SECONDS = Layout(step_seconds=1, chunk_rows=65_536)
 TRADE_ORDER = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
     "l_tax", "l_linestatus",
@@ -52,6 +53,17 @@ def bars_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(ticks(spark, sf_dir), HOURLY.step_seconds, ("ts", "event_id"))
 
 
+def bars_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-second bars: as many as there are events, give or take."""
+    return resample(ticks(spark, sf_dir), SECONDS.step_seconds, ("ts", "event_id"))
+
+
+def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars of many series, one per supplier."""
+    sold = trades(spark, sf_dir).withColumn("series", F.col("l_suppkey").cast("string"))
+    return resample(sold, DAILY.step_seconds, TRADE_ORDER)
+
+
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, whole numbers as BIGINT, naive timestamps."""
 

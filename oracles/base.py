@@ -20,6 +20,9 @@ SELECT event_type AS series, date_trunc('hour', ts) AS ts,
   sum(CAST(props->>'$.k' AS DOUBLE)) AS volume
 FROM events GROUP BY event_type, date_trunc('hour', ts)"""
 
+BARS_1S = BARS_1H.replace("date_trunc('hour', ts)", "date_trunc('second', ts)")
+SUPPLIER_BARS = BARS_1D.replace("l_returnflag AS series", "CAST(l_suppkey AS VARCHAR) AS series")
+
 WITH_1D = f"WITH bars AS ({BARS_1D})"
 WITH_1H = f"WITH bars AS ({BARS_1H})"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles.base import BARS_1D, BARS_1H, OHLCV, WITH_1H, shaped
+from oracles.base import BARS_1D, BARS_1H, BARS_1S, OHLCV, SUPPLIER_BARS, WITH_1H, shaped
 
 LAGS = (1, 2, 3, 5, 10, 15, 30, 60)
 WINDOWS = (5, 10, 15, 30, 60, 120, 240)
@@ -205,9 +205,9 @@ ENHANCED = [
     *CANDLE, *CALENDAR, *CYCLIC, *FLAGS, *TARGET,
 ]
 
-ORACLES = {
-    "persistence_metrics": shaped(
-        f"""WITH clean AS ({clean_table(BARS_1D)}),
+def persistence(bars: str) -> str:
+    return shaped(
+        f"""WITH clean AS ({clean_table(bars)}),
 long AS (SELECT series, close AS prediction, unnest([{", ".join(map(str, SIMPLE_HORIZONS))}]) AS horizon,
   unnest([{", ".join(SIMPLE_TARGET)}]) AS actual FROM clean)
 SELECT series, horizon, sqrt(avg((actual - prediction) ** 2)) AS rmse, avg(abs(actual - prediction)) AS mae,
@@ -215,7 +215,13 @@ SELECT series, horizon, sqrt(avg((actual - prediction) ** 2)) AS rmse, avg(abs(a
         "rmse mae mape",
         "horizon",
         digits=4,
-    ),
+    )
+
+
+ORACLES = {
+    "persistence_metrics": persistence(BARS_1D),
+    "supplier_metrics": persistence(SUPPLIER_BARS),
+    "second_features": shaped(simple_table(BARS_1S), " ".join([OHLCV, *SIMPLE, *SIMPLE_TARGET])),
     "simple_features": shaped(simple_table(BARS_1H), " ".join([OHLCV, *SIMPLE, *SIMPLE_TARGET])),
     "clean_rows": f"""SELECT series, count(*) AS rows, min(ts) AS first_ts, max(ts) AS last_ts
 FROM ({clean_table(BARS_1D)}) GROUP BY series""",
