@@ -9,6 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Feature prefix, calendar part and period of the cyclic columns.
+CYCLES = (("hour", "hour", 24), ("dow", "day_of_week", 7), ("month", "month", 12), ("minute", "minute", 60))
+
+CALENDAR_NAMES = ("hour", "day_of_week", "day_of_month", "month", "quarter", "minute")
+CYCLIC_NAMES = tuple(f"{prefix}_{f}" for prefix, _, _ in CYCLES for f in ("sin", "cos"))
+FLAG_NAMES = ("is_weekend", "is_market_hours", "is_overnight")
+
+
 def time_bucket(ts: Column, step_seconds: int) -> Column:
     """Start of the ``step_seconds`` wide bucket that holds ``ts``."""
     seconds = F.unix_seconds(ts)
@@ -41,10 +49,8 @@ def calendar_columns(ts: Column) -> dict[str, Column]:
 
 def cyclic_columns(ts: Column) -> dict[str, Column]:
     parts = calendar_columns(ts)
-    # Feature prefix, calendar part, period.
-    periods = (("hour", "hour", 24), ("dow", "day_of_week", 7), ("month", "month", 12), ("minute", "minute", 60))
     out: dict[str, Column] = {}
-    for prefix, part, period in periods:
+    for prefix, part, period in CYCLES:
         angle = parts[part] * F.lit(2 * math.pi) / F.lit(float(period))
         out[f"{prefix}_sin"] = F.sin(angle)
         out[f"{prefix}_cos"] = F.cos(angle)

@@ -67,10 +67,7 @@ def basic_spec(horizons: Sequence[int] = rolling.HORIZONS) -> FeatureSpec:
 
 
 def enhanced_spec(horizons: Sequence[int] = rolling.HORIZONS) -> FeatureSpec:
-    calendar = [
-        *timeparts.calendar_columns(F.lit(None)), *timeparts.cyclic_columns(F.lit(None)),
-        *timeparts.session_flags(F.lit(None)),
-    ]
+    calendar = [*timeparts.CALENDAR_NAMES, *timeparts.CYCLIC_NAMES, *timeparts.FLAG_NAMES]
     names = [
         *_lag_names(rolling.LAGS),
         *rolling.rolling_names("close", rolling.WINDOWS, ENHANCED_STATS),

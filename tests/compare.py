@@ -15,10 +15,10 @@ sys.path.insert(0, str(ROOT))
 DATA = "/root/testdata"
 
 
-def session(app: str = "barloom", threads: str = "8"):
+def session(app: str = "barloom", threads: str = "8", shared: str | None = None):
     from pyspark.sql import SparkSession
 
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{threads}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
@@ -26,8 +26,10 @@ def session(app: str = "barloom", threads: str = "8"):
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
