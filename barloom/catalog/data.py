@@ -114,7 +114,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(quality.price_stats(bars_1d(spark, sf_dir)), 4)
+    return finish(quality.price_stats(bars_1d(spark, sf_dir)), 8)
 
 
 def histogram_50(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from barloom.operators.layout import over_chunks
 from barloom.operators.metrics import error_metrics, long_predictions
 from barloom.operators.recurrence import Smooth, with_smoothed
 from barloom.plans import features
+from barloom.session import materialized
 
 KEYS = ("series", "ts")
 Build = Callable[[DataFrame, WindowSpec], DataFrame]
@@ -108,13 +109,14 @@ def enhanced_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def second_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Simple features and targets over one-second bars, a table that grows with the events."""
-    return finish(features.simple_features(bars_1s(spark, sf_dir), SECONDS))
+    return finish(features.simple_features(materialized(bars_1s(spark, sf_dir), "bars"), SECONDS))
 
 
 def supplier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persistence errors of every supplier's daily bars."""
     spec = features.simple_spec()
-    rows = features.clean_rows(features.simple_features(supplier_bars(spark, sf_dir), DAILY), spec)
+    bars = materialized(supplier_bars(spark, sf_dir), "bars")
+    rows = features.clean_rows(features.simple_features(bars, DAILY), spec)
     forecasts = long_predictions(rows, {"persistence": "close"}, spec.horizons)
     return finish(error_metrics(forecasts, ["series", "horizon"]), 4)
 

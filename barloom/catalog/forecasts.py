@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barloom.catalog import Query
 from barloom.catalog.tables import HOURLY, bars_1d, bars_1h, finish
 from barloom.functions import labels
-from barloom.operators import calibration, probability
+from barloom.operators import calibration, probability, splits
 from barloom.plans import live
 
 HORIZONS = (1, 2, 5, 10, 20)
@@ -36,11 +36,11 @@ def interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def threshold_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(probability.live_thresholds(prices(bars_1d(spark, sf_dir))), 4)
+    return finish(probability.live_thresholds(prices(bars_1d(spark, sf_dir))), 8)
 
 
 def percent_threshold_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(probability.percent_thresholds(prices(bars_1d(spark, sf_dir))), 4)
+    return finish(probability.percent_thresholds(prices(bars_1d(spark, sf_dir))), 8)
 
 
 def query_name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,7 @@ def calibration_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     thresholds = probability.live_thresholds(prices(bars_1h(spark, sf_dir)))
-    return live.forecast_documents(live.newest(ensemble(spark, sf_dir)), thresholds)
+    return live.forecast_documents(splits.latest(ensemble(spark, sf_dir)), thresholds)
 
 
 def forecast_document(spark: SparkSession, sf_dir: str) -> DataFrame:

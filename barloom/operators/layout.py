@@ -98,12 +98,14 @@ def over_chunks(
     return core.drop("_chunk", "_block", *([] if keep_position else ["pos"]))
 
 
-def attach(bars: DataFrame, per_series: DataFrame, *, how: str = "inner", salts: int = 16) -> DataFrame:
-    """Join per-series values onto bars.
+def attach(
+    bars: DataFrame, per_key: DataFrame, keys: Sequence[str] = ("series",), *, how: str = "inner", salts: int = 16
+) -> DataFrame:
+    """Join values known per key onto rows that carry ``ts``.
 
-    Small tables are broadcast by size. Beyond that limit a hot series is spread over
-    ``salts`` tasks, each with its own copy of the one-row-per-series side.
+    Small tables are broadcast by their measured size. Beyond that limit a hot key is spread
+    over ``salts`` tasks, each with its own copy of the one-row-per-key side.
     """
-    salted = per_series.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = bars.withColumn("_salt", F.pmod(F.xxhash64("ts"), F.lit(salts)).cast("int"))
-    return keyed.join(salted, ["series", "_salt"], how).drop("_salt")
+    return keyed.join(salted, [*keys, "_salt"], how).drop("_salt")

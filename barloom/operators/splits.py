@@ -21,10 +21,12 @@ def tail(bars: DataFrame, rows: int, layout: Layout) -> DataFrame:
 
 
 def latest(bars: DataFrame) -> DataFrame:
-    """The newest bar of each series."""
-    rest = [c for c in bars.columns if c not in ("series", "ts")]
-    newest = F.max_by(F.struct("ts", *rest), "ts").alias("_row")
-    return bars.groupBy("series").agg(newest).select("series", "_row.*")
+    """The newest row of each series; stamps are unique within a series.
+
+    The newest stamp is found first: an aggregate that carried whole rows would have to sort them.
+    """
+    newest = bars.groupBy("series").agg(F.max("ts").alias("_newest"))
+    return attach(bars, newest).where(F.col("ts") == F.col("_newest")).drop("_newest")
 
 
 def with_size(placed: DataFrame) -> DataFrame:
@@ -113,7 +115,7 @@ def assign(
     trained = _numbered(bars, span, train, step, 0).withColumn("part", F.lit("train"))
     tested = _numbered(bars, span, test, step, train).withColumn("part", F.lit("test"))
     named = splits.select("series", "raw_split", "split")
-    return trained.unionByName(tested).join(named, ["series", "raw_split"]).drop("raw_split")
+    return attach(trained.unionByName(tested), named, ["series", "raw_split"]).drop("raw_split")
 
 
 def walk_forward_splits(sizes: DataFrame, n_splits: int = 5, test_size: float = 0.2) -> DataFrame:

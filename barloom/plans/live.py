@@ -20,12 +20,6 @@ POINT, QUANTILE, INTERVAL, PROBABILITY = (
 )
 
 
-def newest(forecasts: DataFrame) -> DataFrame:
-    """Forecast rows made at the newest stamp of their series."""
-    last = forecasts.groupBy("series").agg(F.max("ts").alias("_last"))
-    return attach(forecasts, last).where(F.col("ts") == F.col("_last")).drop("_last")
-
-
 def _horizon_label(row: Column) -> Column:
     return F.concat(F.lit("horizon_"), row["horizon"].cast("string"), F.lit("min"))
 

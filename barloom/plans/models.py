@@ -30,8 +30,12 @@ RIDGE_ALPHA = 1.0
 BOOSTING_SPREAD = 0.02
 
 
-def estimator(kind: str, rows: int, params: dict | None = None) -> Estimator:
-    """Regressor of a forecaster kind; ``rows`` scales the ridge penalty to the loss per row."""
+def estimator(kind: str, rows: int, label_std: float, params: dict | None = None) -> Estimator:
+    """Regressor of a forecaster kind.
+
+    The ridge penalty is given for the summed loss; Spark takes it for the loss per row of
+    the label divided by its deviation, hence ``rows`` and ``label_std``.
+    """
     if kind == "random_forest":
         return RandomForestRegressor(featureSubsetStrategy="all", **{**FOREST, **(params or {})})
     if kind == "boosting":
@@ -39,7 +43,8 @@ def estimator(kind: str, rows: int, params: dict | None = None) -> Estimator:
     if kind == "linear":
         return LinearRegression(standardization=False, **(params or {}))
     if kind == "ridge":
-        return LinearRegression(regParam=RIDGE_ALPHA / rows, elasticNetParam=0.0, standardization=False, **(params or {}))
+        penalty = RIDGE_ALPHA / rows * (label_std or 1.0)
+        return LinearRegression(regParam=penalty, elasticNetParam=0.0, standardization=False, **(params or {}))
     raise ValueError(f"unknown forecaster kind: {kind}")
 
 
@@ -117,10 +122,10 @@ def fit(
     """One regressor per horizon over the same vectors, fitted side by side."""
     vectors = vectors or vectorizer(train, spec.features)
     ready = vectors.transform(train).select("vector", *spec.targets).persist()
-    rows = ready.count()
+    stats = ready.agg(F.count(F.lit(1)).alias("rows"), *[F.stddev_pop(t).alias(t) for t in spec.targets]).first()
 
     def fit_horizon(h: int) -> Model:
-        one = estimator(kind, rows, params)
+        one = estimator(kind, stats["rows"], stats[f"target_{h}"], params)
         one.setFeaturesCol("vector").setLabelCol(f"target_{h}").setPredictionCol(f"prediction_{h}")
         return one.fit(ready)
 

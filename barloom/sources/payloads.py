@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.operators.layout import attach
+
 
 def decode_candles(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Bars from JSON arrays of ``[epoch_s, low, high, open, close, volume]``.
@@ -55,7 +57,8 @@ def decode_tickers(messages: DataFrame, message: str = "message") -> DataFrame:
 
 
 def latest_quote(quotes: DataFrame) -> DataFrame:
-    """Newest quote per series, one map-side combined aggregate."""
+    """Newest quote per series; of several at the same instant, the one with the highest values."""
+    newest = quotes.groupBy("series").agg(F.max("ts").alias("_newest"))
+    last = attach(quotes, newest).where(F.col("ts") == F.col("_newest"))
     fields = [c for c in quotes.columns if c not in ("series", "ts")]
-    newest = F.max_by(F.struct("ts", *fields), "ts").alias("_q")
-    return quotes.groupBy("series").agg(newest).select("series", "_q.*")
+    return last.groupBy("series", "ts").agg(F.max(F.struct(*fields)).alias("_q")).select("series", "ts", "_q.*")

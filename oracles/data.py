@@ -84,7 +84,7 @@ SELECT series, count(*) AS rows, CAST(count(*) * 5 - count(open) - count(high) -
   date_diff('day', min(ts), max(ts)) AS duration_days, min(close) AS min_price, max(close) AS max_price,
   avg(close) AS mean_price, stddev_samp(close) AS std_price FROM bars GROUP BY series""",
         "min_price max_price mean_price std_price",
-        digits=4,
+        digits=8,
     ),
     "histogram_50": shaped(
         f"""{WITH_1H}, lim AS (SELECT series, min(close) AS lo, (max(close) - min(close)) / 50 AS w FROM bars GROUP BY series),

@@ -136,8 +136,8 @@ ORACLES = {
         "level coverage mean_width",
         "horizon",
     ),
-    "threshold_set": shaped(f"WITH bars AS ({BARS_1D}), {PRICES} {live_rules('price')}", "low high", digits=4),
-    "percent_threshold_set": shaped(f"WITH bars AS ({BARS_1D}), {PRICES} {percent_rules()}", "low high", digits=4),
+    "threshold_set": shaped(f"WITH bars AS ({BARS_1D}), {PRICES} {live_rules('price')}", "low high", digits=8),
+    "percent_threshold_set": shaped(f"WITH bars AS ({BARS_1D}), {PRICES} {percent_rules()}", "low high", digits=8),
     "query_name_parse": shaped(
         f"""WITH bars AS ({BARS_1D}), named AS (SELECT series, ts, unnest([
   'above_' || CAST(trunc(close) AS BIGINT), 'below_' || CAST(trunc(close * 0.98::DOUBLE) AS BIGINT),
