@@ -54,16 +54,7 @@ def scalar(make: Callable[[], dict[str, Column]]) -> Query:
 
 
 def obv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = bars_1h(spark, sf_dir)
-    signed = over_chunks(
-        bars,
-        HOURLY,
-        1,
-        0,
-        columns(lambda w: {"_signed": technical.signed_volume(w)}),
-        columns=[*KEYS, "close", "volume"],
-    )
-    return finish(features.with_obv(signed.select(*KEYS, "_signed"), HOURLY))
+    return finish(features.with_obv(bars_1h(spark, sf_dir), HOURLY).select(*KEYS, "obv"))
 
 
 def ema(df: DataFrame, w: WindowSpec) -> DataFrame:

@@ -32,13 +32,34 @@ class Layout:
         return self.step_seconds * self.chunk_rows
 
 
+def _slotted(bars: DataFrame, layout: Layout) -> DataFrame:
+    """Bars with their time slot; an existing one is kept, and with it the partitioning by it."""
+    if "_slot" in bars.columns:
+        return bars
+    return bars.withColumn("_slot", F.expr(f"unix_seconds(ts) div {layout.slot_seconds}"))
+
+
+def with_previous(bars: DataFrame, layout: Layout, column: str, name: str) -> DataFrame:
+    """Add the value one row back, also across slots. Keeps ``_slot`` for ``running_totals``."""
+    slotted = _slotted(bars, layout)
+    last = slotted.groupBy("series", "_slot").agg(F.max_by(column, "ts").alias("_last"))
+    earlier = last.select(
+        "series", "_slot", F.lag("_last").over(Window.partitionBy("series").orderBy("_slot")).alias("_before")
+    )
+    within = Window.partitionBy("series", "_slot").orderBy("ts")
+    opening = F.row_number().over(within) == 1
+    value = F.when(opening, F.col("_before")).otherwise(F.lag(column).over(within))
+    return slotted.join(earlier, ["series", "_slot"]).withColumn(name, value).drop("_before")
+
+
 def running_totals(bars: DataFrame, layout: Layout, totals: Mapping[str, Column]) -> DataFrame:
     """Add inclusive running sums per series in time order.
 
     Slot totals are map-side combined; only that small table is summed up per series. Rows
     then need a running sum inside their own slot plus the offset of the slots before it.
     """
-    slotted = bars.withColumn("_slot", F.expr(f"unix_seconds(ts) div {layout.slot_seconds}"))
+    kept = [c for c in bars.columns if c != "_slot"]
+    slotted = _slotted(bars, layout)
     per_slot = slotted.groupBy("series", "_slot").agg(*[F.sum(c).alias(f"_sum_{k}") for k, c in totals.items()])
     earlier = Window.partitionBy("series").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slot.select(
@@ -51,7 +72,7 @@ def running_totals(bars: DataFrame, layout: Layout, totals: Mapping[str, Column]
     )
     joined = slotted.join(offsets, ["series", "_slot"])
     return joined.select(
-        *bars.columns,
+        *kept,
         *[(F.sum(c).over(within) + F.coalesce(F.col(f"_before_{k}"), F.lit(0))).alias(k) for k, c in totals.items()],
     )
 

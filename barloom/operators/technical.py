@@ -198,7 +198,6 @@ def candle_columns() -> dict[str, Column]:
     }
 
 
-def signed_volume(w: WindowSpec) -> Column:
+def signed_volume(previous: Column) -> Column:
     """Volume counted down when the close fell, up otherwise; its running sum is OBV."""
-    fell = F.col("close") < F.lag("close").over(w)
-    return F.when(fell, -F.col("volume")).otherwise(F.col("volume"))
+    return F.when(F.col("close") < previous, -F.col("volume")).otherwise(F.col("volume"))

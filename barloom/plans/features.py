@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import timeparts
 from barloom.operators import rolling, technical
-from barloom.operators.layout import Layout, over_chunks, running_totals
+from barloom.operators.layout import Layout, over_chunks, running_totals, with_previous
 
 KEYS = ("series", "ts")
 OHLCV = ("open", "high", "low", "close", "volume")
@@ -102,8 +102,10 @@ def simple_features(bars: DataFrame, layout: Layout, horizons: Sequence[int] = S
 
 
 def with_obv(bars: DataFrame, layout: Layout) -> DataFrame:
-    """On-balance volume; expects ``_signed`` from ``technical.signed_volume``."""
-    return running_totals(bars, layout, {"obv": F.col("_signed")}).drop("_signed")
+    """On-balance volume, and the row position that falls out of the same pass."""
+    stepped = with_previous(bars, layout, "close", "_previous")
+    totals = {"pos": F.lit(1), "obv": technical.signed_volume(F.col("_previous"))}
+    return running_totals(stepped, layout, totals).drop("_previous").withColumn("pos", F.col("pos") - 1)
 
 
 def technical_table(
@@ -114,7 +116,7 @@ def technical_table(
     stats: Sequence[str],
     rsi: dict[str, int],
 ) -> DataFrame:
-    """Every column of a basic or enhanced table; one chunked pass, OBV on top if asked for."""
+    """Every column of a basic or enhanced table: one chunked pass over narrow rows."""
     wanted = set(spec.features)
 
     def build(df: DataFrame, w: WindowSpec) -> DataFrame:
@@ -131,14 +133,14 @@ def technical_table(
             **technical.return_columns(w),
             **rolling.target_columns(w, "close", spec.horizons),
         }
-        if "obv" in wanted:
-            cols["_signed"] = technical.signed_volume(w)
-        return df.withColumns({k: c for k, c in cols.items() if k in wanted or k in spec.targets or k == "_signed"})
+        return df.withColumns({k: c for k, c in cols.items() if k in wanted or k in spec.targets})
 
     before = max(technical.HISTORY_ROWS, *windows, *rolling.LAGS)
-    wide = over_chunks(priced(bars), layout, before, max(spec.horizons), build, columns=[*KEYS, *OHLCV], heavy=True)
+    inputs = [*KEYS, *OHLCV]
+    rows = priced(bars).select(*inputs)
     if "obv" in wanted:
-        wide = with_obv(wide, layout)
+        rows, inputs = with_obv(rows, layout), [*inputs, "obv"]
+    wide = over_chunks(rows, layout, before, max(spec.horizons), build, columns=inputs, heavy=True)
     ts = F.col("ts")
     scalars = {
         **technical.candle_columns(),

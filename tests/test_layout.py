@@ -5,7 +5,7 @@ from conftest import collected, same, walk
 from pyspark.sql import functions as F
 
 from barloom.operators import quality, splits
-from barloom.operators.layout import Layout, attach, over_chunks, positions, running_totals
+from barloom.operators.layout import Layout, attach, over_chunks, positions, running_totals, with_previous
 from barloom.plans import features
 
 SMALL = Layout(step_seconds=60, chunk_rows=64)
@@ -35,6 +35,12 @@ def test_running_totals_match_cumulative_sum(bars, frame):
     same(got.total, expected.values)
 
 
+def test_previous_value_crosses_slots(bars, frame):
+    got = collected(with_previous(bars, SMALL, "close", "prev"))
+    expected = frame.sort_values(["series", "ts"]).groupby("series").close.shift(1)
+    same(got.prev, expected.values)
+
+
 @pytest.mark.parametrize("before,after", [(0, 0), (30, 0), (0, 20), (200, 90)])
 def test_chunked_windows_equal_whole_series(bars, frame, before, after):
     def build(df, w):
