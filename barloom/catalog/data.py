@@ -9,9 +9,11 @@ from barloom.catalog import Query
 from barloom.catalog.tables import DAILY, HOURLY, bars_1d, bars_1h, finish, table, ticks, trades
 from barloom.functions import timeparts
 from barloom.operators import quality, splits
+from barloom.operators.layout import with_previous
 from barloom.plans import features
+from barloom.session import publish, scratch_path
 from barloom.sources import bars as bar_ops
-from barloom.sources import payloads, requests
+from barloom.sources import files, payloads, requests
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +199,47 @@ def walk_forward_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(splits.walk_forward_splits(sizes))
 
 
+def csv_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars written as CSV, one folder per series, and read back with their schema."""
+    path = scratch_path(spark, "csv")
+    files.write_bars_csv(bars_1h(spark, sf_dir), path)
+    good, _ = files.split_rejects(files.read_bars_csv(spark, path))
+    return finish(good)
+
+
+def stored_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of bars from a table partitioned by day."""
+    path = scratch_path(spark, "bars")
+    files.write_bars(bars_1h(spark, sf_dir), path)
+    return finish(spark.read.parquet(path).where("day = date'2024-01-10'").drop("day"))
+
+
+def overview_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars thinned to one point per day."""
+    return finish(bar_ops.thinned(bars_1h(spark, sf_dir), 86_400))
+
+
+def change_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distribution of the relative change from bar to bar."""
+    b = with_previous(bars_1h(spark, sf_dir), HOURLY, "close", "previous")
+    change = F.try_divide(F.col("close"), F.col("previous")) - 1
+    return finish(quality.histogram(b.withColumn("change", change), "change"))
+
+
+def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain SQL over a published bar table."""
+    publish({"hourly_bars": bars_1h(spark, sf_dir)})
+    return finish(
+        spark.sql("SELECT series, avg(close) AS mean_close, sum(volume) AS volume FROM hourly_bars GROUP BY series")
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "csv_bars": csv_bars,
+    "stored_day": stored_day,
+    "overview_daily": overview_daily,
+    "change_histogram": change_histogram,
+    "sql_views": sql_views,
     "bars_1d": daily,
     "bars_1h": hourly,
     "payload_decode": payload_decode,

@@ -9,7 +9,8 @@ from barloom.catalog import Query
 from barloom.catalog.tables import HOURLY, bars_1h, finish
 from barloom.operators import metrics, scaling, splits
 from barloom.plans import features
-from barloom.session import materialized
+from barloom.session import materialized, scratch_path
+from barloom.sources import files
 
 HORIZONS = features.SIMPLE_HORIZONS
 MODELS = {"persistence": "close", "moving_average_5": "close_ma_5", "moving_average_20": "close_ma_20"}
@@ -100,6 +101,13 @@ def pred_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(metrics.align(predicted, metrics.long_targets(rows, SHOWN)))
 
 
+def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of all models written by model; two are asked for, and one that was never written."""
+    path = scratch_path(spark, "metrics")
+    files.write_metrics(by_split(spark, sf_dir), path)
+    return finish(files.read_metrics(spark, path, ["persistence", "moving_average_5", "absent"]))
+
+
 FEATURES = features.simple_spec().features
 
 
@@ -122,6 +130,7 @@ def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "split_metrics": split_metrics,
+    "stored_metrics": stored_metrics,
     "metrics_by_horizon": metrics_by_horizon,
     "metrics_by_model_horizon": metrics_by_model_horizon,
     "metrics_pivot": metrics_pivot,

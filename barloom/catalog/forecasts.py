@@ -10,6 +10,8 @@ from barloom.catalog.tables import HOURLY, bars_1d, bars_1h, finish
 from barloom.functions import labels
 from barloom.operators import calibration, probability, splits
 from barloom.plans import live
+from barloom.session import scratch_path
+from barloom.sources import files
 
 HORIZONS = (1, 2, 5, 10, 20)
 MEMBERS = 20
@@ -27,6 +29,13 @@ def member_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(probability.member_quantiles(ensemble(spark, sf_dir)))
 
 
+def stored_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles written with a folder per level; one level is read."""
+    path = scratch_path(spark, "quantiles")
+    files.write_quantiles(probability.member_quantiles(ensemble(spark, sf_dir)), path)
+    return finish(spark.read.parquet(path).where(F.col("q") == 0.25))
+
+
 def prediction_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(probability.prediction_intervals(ensemble(spark, sf_dir)))
 
@@ -138,6 +147,7 @@ def forecast_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "member_quantiles": member_quantiles,
+    "stored_quantiles": stored_quantiles,
     "prediction_intervals": prediction_intervals,
     "interval_coverage": interval_coverage,
     "threshold_set": threshold_set,

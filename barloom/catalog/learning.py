@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barloom.catalog import Query
 from barloom.catalog.evaluation import clean
 from barloom.catalog.forecasts import ensemble
-from barloom.catalog.tables import HOURLY, finish
+from barloom.catalog.tables import HOURLY, bars_1h, finish
 from barloom.operators import calibration, probability, splits
 from barloom.plans import features, models
 from barloom.session import scratch_path
@@ -101,12 +101,19 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(models.stored_features(spark, path))
 
 
+def quick_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small demonstration run: recent bars, small forest, errors on the held-out rows."""
+    model, held_out = models.quick_train(bars_1h(spark, sf_dir), HOURLY, SPEC, rows=500)
+    return finish(models.evaluate(model, held_out))
+
+
 QUERIES: dict[str, Query] = {
     "rf_forecast": partial(forecast, kind="random_forest", params=models.QUICK_FOREST),
     "gbt_forecast": partial(forecast, kind="boosting", params={"maxIter": 5}),
     "linear_forecast": partial(forecast, kind="linear", params={}),
     "ridge_forecast": partial(forecast, kind="ridge", params={}),
     "rf_metrics": rf_metrics,
+    "quick_train": quick_train,
     "rf_quantiles": rf_quantiles,
     "rf_calibration": rf_calibration,
     "feature_importance": feature_importance,

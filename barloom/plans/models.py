@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from barloom.operators import metrics, scaling, splits
 from barloom.operators.layout import Layout, attach, positions
 from barloom.operators.probability import QUANTILES
-from barloom.plans.features import FeatureSpec, reconcile
+from barloom.plans.features import FeatureSpec, clean_rows, reconcile, simple_features
+from barloom.session import materialized
 
 PARALLEL_FITS = 4
 
@@ -194,6 +195,21 @@ def evaluate(model: Forecaster, table: DataFrame, by: Sequence[str] = ("horizon"
     return metrics.error_metrics(long, by).withColumn("model", F.lit(model.kind))
 
 
+def quick_train(
+    bars: DataFrame,
+    layout: Layout,
+    spec: FeatureSpec,
+    rows: int = 10_000,
+    kind: str = "random_forest",
+    params: dict | None = None,
+) -> tuple[Forecaster, DataFrame]:
+    """Fit on the first 80 % of the last ``rows`` bars of each series; returns the held-out rows, too."""
+    table = clean_rows(simple_features(splits.tail(bars, rows, layout), layout, spec.horizons), spec)
+    parts = materialized(splits.positional_split(table, layout), "quick")
+    model = fit(parts.where("part = 'train'"), spec, kind, params or QUICK_FOREST)
+    return model, parts.where("part = 'test'").drop("part")
+
+
 FitOne = Callable[[DataFrame], Forecaster]
 
 

@@ -37,3 +37,9 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def publish(views: dict[str, DataFrame]) -> None:
+    """Make tables available to SQL under the given names."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)

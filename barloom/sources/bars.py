@@ -64,3 +64,10 @@ def history_flags(bars: DataFrame, needed: int = 240) -> DataFrame:
 def as_of(bars: DataFrame, moment: str) -> DataFrame:
     """Bars known at ``moment``: a historical replay is the same job on this input."""
     return bars.where(F.col("ts") <= F.lit(moment).cast("timestamp"))
+
+
+def thinned(bars: DataFrame, step_seconds: int) -> DataFrame:
+    """One point per step for plotting: last close and summed volume."""
+    return bars.groupBy("series", time_bucket(F.col("ts"), step_seconds).alias("bucket")).agg(
+        F.max_by("close", "ts").alias("close"), F.sum("volume").alias("volume")
+    ).withColumnRenamed("bucket", "ts")

@@ -24,6 +24,25 @@ counted AS (
 splits AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY train_start) AS split FROM counted)"""
 
 ORACLES = {
+    "csv_bars": shaped(BARS_1H, OHLCV),
+    "stored_day": shaped(f"SELECT * FROM ({BARS_1H}) WHERE ts >= '2024-01-10' AND ts < '2024-01-11'", OHLCV),
+    "overview_daily": shaped(
+        f"""SELECT series, date_trunc('day', bars.ts) AS ts, arg_max(close, bars.ts) AS close, sum(volume) AS volume
+FROM ({BARS_1H}) AS bars GROUP BY series, date_trunc('day', bars.ts)""",
+        "close volume",
+    ),
+    "change_histogram": shaped(
+        f"""WITH bars AS (SELECT series, close / lag(close) OVER (PARTITION BY series ORDER BY ts) - 1 AS x FROM ({BARS_1H})),
+lim AS (SELECT series, min(x) AS lo, (max(x) - min(x)) / 50 AS w FROM bars GROUP BY series),
+b AS (SELECT series, lo, w, CAST(least(floor((x - lo) / w), 49) AS BIGINT) AS bin FROM bars JOIN lim USING (series)
+  WHERE x IS NOT NULL)
+SELECT series, bin, lo + bin * w AS bin_lower, lo + bin * w + w AS bin_upper, count(*) AS count FROM b
+GROUP BY series, bin, lo, w""",
+        "bin_lower bin_upper",
+    ),
+    "sql_views": shaped(
+        f"SELECT series, avg(close) AS mean_close, sum(volume) AS volume FROM ({BARS_1H}) GROUP BY series", "mean_close volume"
+    ),
     "bars_1d": shaped(BARS_1D, OHLCV, digits=8),
     "bars_1h": shaped(BARS_1H, OHLCV),
     "payload_decode": shaped(BARS_1H, OHLCV),

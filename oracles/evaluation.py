@@ -56,6 +56,9 @@ FROM metrics m JOIN splits USING (series, split)""",
         "rmse mae mape",
         "horizon"
     ),
+    "stored_metrics": shaped(
+        f"{METRICS} SELECT * FROM metrics WHERE model IN ('persistence', 'moving_average_5')", "rmse mae mape", "horizon"
+    ),
     "metrics_by_horizon": shaped(
         f"{METRICS} SELECT horizon, {MEANS} FROM metrics GROUP BY horizon", "rmse mae mape", "horizon"
     ),

@@ -114,6 +114,11 @@ ORACLES = {
         "q value",
         "horizon",
     ),
+    "stored_quantiles": shaped(
+        f"WITH {ENSEMBLE} SELECT series, ts, horizon, 0.25::DOUBLE AS q, {at('0.25::DOUBLE')} AS value FROM ens",
+        "q value",
+        "horizon",
+    ),
     "prediction_intervals": shaped(
         f"WITH {ENSEMBLE} "
         + " UNION ALL ".join(

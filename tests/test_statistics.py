@@ -134,6 +134,11 @@ def test_interpolation_clamps_both_ends(spark):
     assert np.allclose(got, np.interp(at, xs, ys))
 
 
+def test_evenly_spaced_grid(spark):
+    got = spark.range(1).select(arrays.evenly_spaced(0.01, 0.99, 99).alias("g")).first().g
+    assert np.allclose(got, np.linspace(0.01, 0.99, 99))
+
+
 def test_names(spark):
     df = spark.createDataFrame([("between_10_20",), ("above_500",), ("below_0.5pct",), ("other",)], "q string")
     low, high = labels.query_bounds(F.col("q"))
