@@ -104,8 +104,9 @@ def pred_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of all models written by model; two are asked for, and one that was never written."""
     path = scratch_path(spark, "metrics")
-    files.write_metrics(by_split(spark, sf_dir), path)
-    return finish(files.read_metrics(spark, path, ["persistence", "moving_average_5", "absent"]))
+    found = by_split(spark, sf_dir)
+    files.write_metrics(found, path)
+    return finish(files.read_metrics(spark, path, found.schema, ["persistence", "moving_average_5", "absent"]))
 
 
 FEATURES = features.simple_spec().features

@@ -32,8 +32,9 @@ def member_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantiles written with a folder per level; one level is read."""
     path = scratch_path(spark, "quantiles")
-    files.write_quantiles(probability.member_quantiles(ensemble(spark, sf_dir)), path)
-    return finish(spark.read.parquet(path).where(F.col("q") == 0.25))
+    quantiles = probability.member_quantiles(ensemble(spark, sf_dir))
+    files.write_quantiles(quantiles, path)
+    return finish(spark.read.schema(quantiles.schema).parquet(path).where(F.col("q") == 0.25))
 
 
 def prediction_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:

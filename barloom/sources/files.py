@@ -52,9 +52,14 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.partitionBy("model").mode("overwrite").parquet(path)
 
 
-def read_metrics(spark: SparkSession, path: str, models: Sequence[str] | None = None) -> DataFrame:
-    """Metrics of all models found, or of those asked for that exist; absent ones are skipped."""
-    table = spark.read.parquet(path)
+def read_metrics(
+    spark: SparkSession, path: str, schema: T.StructType, models: Sequence[str] | None = None
+) -> DataFrame:
+    """Metrics of all models found, or of those asked for that exist; absent ones are skipped.
+
+    The schema is given, so a table without any rows can be read as well.
+    """
+    table = spark.read.schema(schema).parquet(path)
     return table if models is None else table.where(F.col("model").isin(*models))
 
 

@@ -32,8 +32,10 @@ def test_bars_are_pruned_by_day(spark, tmp_path):
 def test_metrics_by_model(spark, tmp_path):
     df = spark.createDataFrame([("m1", 1, 2.0), ("m2", 1, 3.0)], "model string, horizon int, rmse double")
     files.write_metrics(df, str(tmp_path / "m"))
-    assert files.read_metrics(spark, str(tmp_path / "m"), ["m2", "absent"]).count() == 1
-    assert files.read_metrics(spark, str(tmp_path / "m")).count() == 2
+    assert files.read_metrics(spark, str(tmp_path / "m"), df.schema, ["m2", "absent"]).count() == 1
+    assert files.read_metrics(spark, str(tmp_path / "m"), df.schema).count() == 2
+    files.write_metrics(df.limit(0), str(tmp_path / "none"))
+    assert files.read_metrics(spark, str(tmp_path / "none"), df.schema).count() == 0
 
 
 def test_candle_order(spark):
