@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from barloom.llm import packing, pieces
+from barloom.llm import packing, pieces, recompression
 
 QUERIES = {
     "op2_pieces": pieces.query,
     "op3_packing": packing.query,
+    "op6_recompression": recompression.query,
 }
 
 ORACLES: dict[str, str] = {}

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,9 @@ WORD = r"[^ \t-\r]"
 #: Characters of text that an Arrow task works on at a time.
 SLICE = 4_000_000
 
+#: Word hashes kept by a Python worker between batches.
+CACHE = 800_000
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
@@ -45,3 +51,17 @@ def arrow_schema(df: DataFrame) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(df.schema)
+
+
+class WordHashes:
+    """64-bit hashes of the words of many texts, as one flat array."""
+
+    def __init__(self):
+        self.cache: dict[bytes, int] = {}
+
+    def __call__(self, words: list[list[bytes]]) -> np.ndarray:
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        for w in set().union(*words).difference(self.cache):
+            self.cache[w] = xxhash.xxh3_64_intdigest(w)
+        return np.fromiter(map(self.cache.__getitem__, chain.from_iterable(words)), np.uint64, sum(map(len, words)))
