@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from barloom.llm import packing, pieces, recompression
+from barloom.llm import jaccard_join, kneser_ney, packing, pieces, recompression
 
 QUERIES = {
     "op2_pieces": pieces.query,
     "op3_packing": packing.query,
     "op6_recompression": recompression.query,
+    "op9_jaccard_join": jaccard_join.query,
+    "op10_kneser_ney": kneser_ney.query,
 }
 
 ORACLES: dict[str, str] = {}
