@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from barloom.llm import jaccard_join, kneser_ney, packing, pieces, recompression
+from barloom.llm import decision_list, jaccard_join, kd_shards, kneser_ney, packing, pieces, recompression, site_lines, winnowing
 
 QUERIES = {
     "op2_pieces": pieces.query,
     "op3_packing": packing.query,
+    "op4_decision_list": decision_list.query,
+    "op5_winnowing": winnowing.query,
     "op6_recompression": recompression.query,
+    "op7_kd_shards": kd_shards.query,
+    "op8_site_lines": site_lines.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_kneser_ney": kneser_ney.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_site_lines": site_lines.ORACLE}
