@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from barloom.llm import decision_list, jaccard_join, kd_shards, kneser_ney, packing, pieces, recompression, site_lines, winnowing
+from barloom.llm import decision_list, jaccard_join, kd_shards, kneser_ney, packing, pieces, recompression, site_lines, skip_chain, winnowing
 
 QUERIES = {
+    "op1_skip_chain": skip_chain.query,
     "op2_pieces": pieces.query,
     "op3_packing": packing.query,
     "op4_decision_list": decision_list.query,
