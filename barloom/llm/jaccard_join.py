@@ -238,5 +238,14 @@ def joined(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
         ((F.col("n") == 0) | (F.col("rid") == F.col("least.rid"))).alias("first"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents without near copies: of each class of linked ones the one with the least doc_id stays."""
+    flags = joined(docs).filter("first").select("rid").distinct()
+    text = F.coalesce(docs["text"], F.lit(""))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.xxhash64(F.lit(6), docs["doc_id"], text).alias("rid"))
+    kept = rows.join(flags.hint("shuffle_merge"), "rid", "left_semi").dropDuplicates(["rid"])
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
