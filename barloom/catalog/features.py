@@ -11,13 +11,15 @@ from barloom.catalog import Query
 from barloom.catalog.tables import DAILY, HOURLY, SECONDS, bars_1d, bars_1h, bars_1s, finish, supplier_bars
 from barloom.functions import timeparts
 from barloom.operators import rolling, technical
-from barloom.operators.layout import over_chunks
+from barloom.operators.layout import Layout, over_chunks
 from barloom.operators.metrics import error_metrics, long_predictions
 from barloom.operators.recurrence import Smooth, with_smoothed
 from barloom.plans import features
 from barloom.session import materialized
 
 KEYS = ("series", "ts")
+#: One-second bars in chunks of a few hundred rows.
+SHORT = Layout(step_seconds=1, chunk_rows=64)
 Build = Callable[[DataFrame, WindowSpec], DataFrame]
 
 
@@ -28,7 +30,8 @@ def windowed(
     """Query that adds one feature family to hourly bars and drops the input columns."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bars = bars_1h(spark, sf_dir)
+        # indicators and frames are over bars with a close; the ticks are read once
+        bars = materialized(features.priced(bars_1h(spark, sf_dir)).select(*KEYS, *inputs), "bars")
         out = over_chunks(bars, HOURLY, before, after, build, columns=[*KEYS, *inputs], heavy=heavy)
         return finish(out.drop(*inputs), digits)
 
@@ -54,13 +57,42 @@ def scalar(make: Callable[[], dict[str, Column]]) -> Query:
 
 
 def obv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(features.with_obv(bars_1h(spark, sf_dir), HOURLY).select(*KEYS, "obv"))
+    bars = materialized(features.priced(bars_1h(spark, sf_dir)).select(*KEYS, "close", "volume"), "bars")
+    return finish(features.with_obv(bars, HOURLY).select(*KEYS, "obv"))
 
 
 def ema(df: DataFrame, w: WindowSpec) -> DataFrame:
     return with_smoothed(df, w, [Smooth(f"ema_{n}", F.col("close"), technical.span_alpha(n)) for n in (9, 12, 26)])
 
 
+RSI = {"rsi_14": 14, "rsi_21": 21}
+
+
+def rsi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = materialized(features.priced(bars_1h(spark, sf_dir)).select(*KEYS, "close"), "bars")
+    return finish(features.with_rsi(bars, HOURLY, RSI).select(*KEYS, *RSI))
+
+
+def rsi_flat_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-second bars whose price moves on two days in thirty and else stands still, in chunks far shorter than that."""
+    moving = F.pmod(F.expr("unix_seconds(ts)"), F.lit(2_592_000)) < 172_800
+    held = F.when(moving, F.col("close")).otherwise(F.lit(100.0))
+    bars = features.priced(bars_1s(spark, sf_dir)).select(*KEYS, held.alias("close"))
+    return finish(features.with_rsi(materialized(bars, "bars"), SHORT, RSI).select(*KEYS, *RSI))
+
+
+def second_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smoothed, rolling and oscillating indicators over one-second bars: many chunks per series."""
+    inputs = ("high", "low", "close")
+    bars = materialized(features.priced(bars_1s(spark, sf_dir)).select(*KEYS, *inputs), "bars")
+
+    def build(df: DataFrame, w: WindowSpec) -> DataFrame:
+        df = rolling.with_rolling(df, w, "close", (5, 60, 240), ("ma", "std", "median"))
+        return technical.with_cci(technical.with_ranges(df, w), w)
+
+    return finish(over_chunks(bars, SHORT, LONG, 0, build, columns=[*KEYS, *inputs], heavy=True).drop(*inputs))
+
+
 def simple_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(features.simple_features(bars_1h(spark, sf_dir), HOURLY))
 
@@ -149,7 +181,9 @@ QUERIES: dict[str, Query] = {
     "cci": windowed(technical.with_cci, 20, inputs=HLC),
     "obv": obv,
     "ema": windowed(ema, LONG),
-    "rsi": windowed(lambda df, w: technical.with_rsi(df, w, {"rsi_14": 14, "rsi_21": 21}), LONG),
+    "rsi": rsi,
+    "rsi_flat_runs": rsi_flat_runs,
+    "second_indicators": second_indicators,
     "macd": windowed(technical.with_macd, LONG),
     "atr": windowed(technical.with_atr, LONG, inputs=HLC),
     "basic_features": basic_features,

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEFAULT_THRESHOLD = 65000.0
-
 
 def whole(price: Column) -> Column:
     """Price truncated toward zero, as text."""
@@ -43,14 +41,14 @@ def query_operator(name: Column) -> Column:
 
 
 def query_bounds(name: Column) -> tuple[Column, Column]:
-    """Thresholds spelled in a query name: two numbers for ``between``, else the first."""
-    digits = F.transform(F.regexp_extract_all(name, F.lit(r"\d+"), F.lit(0)), lambda d: d.cast("double"))
-    default = F.lit(DEFAULT_THRESHOLD)
-    is_range = name.contains("between") & (F.size(digits) >= 2)
-    single = F.when(~name.contains("between"), F.coalesce(F.get(digits, F.lit(0)), default)).otherwise(default)
-    low = F.when(is_range, F.get(digits, F.lit(0))).otherwise(single)
-    high = F.when(is_range, F.get(digits, F.lit(1)))
-    return low, high
+    """Thresholds spelled in a query name, with sign and decimals: two numbers for ``between``, else the first.
+
+    A name that does not spell its numbers has no thresholds: both are NULL.
+    """
+    numbers = F.transform(F.regexp_extract_all(name, F.lit(r"-?\d+(?:\.\d+)?"), F.lit(0)), lambda d: d.cast("double"))
+    is_range = name.contains("between")
+    readable = F.when(is_range, F.size(numbers) >= 2).otherwise(F.size(numbers) >= 1)
+    return F.when(readable, F.get(numbers, F.lit(0))), F.when(readable & is_range, F.get(numbers, F.lit(1)))
 
 
 def round_to_hundred(price: Column) -> Column:

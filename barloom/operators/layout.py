@@ -52,6 +52,20 @@ def with_previous(bars: DataFrame, layout: Layout, column: str, name: str) -> Da
     return slotted.join(earlier, ["series", "_slot"]).withColumn(name, value).drop("_before")
 
 
+def carried_forward(rows: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
+    """Replace NULLs by the last value before them, also across slots. Reads ``rows`` twice: hand in a stored table."""
+    slotted = _slotted(rows, layout)
+    last = slotted.groupBy("series", "_slot").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(c) for c in columns]
+    )
+    earlier = Window.partitionBy("series").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = last.select("series", "_slot", *[F.last(c, ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in columns])
+    within = Window.partitionBy("series", "_slot").orderBy("ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = slotted.join(before, ["series", "_slot"])
+    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(within), F.col(f"_before_{c}")) for c in columns}
+    return joined.withColumns(filled).select(*rows.columns)
+
+
 def running_totals(bars: DataFrame, layout: Layout, totals: Mapping[str, Column]) -> DataFrame:
     """Add inclusive running sums per series in time order.
 

@@ -26,7 +26,7 @@ def trailing(w: WindowSpec, rows: int) -> WindowSpec:
 def full(w: WindowSpec, rows: int, value: Column, stat: Column) -> Column:
     """``stat`` over the trailing frame, NULL unless all ``rows`` values are there."""
     frame = trailing(w, rows)
-    return F.when(F.count(value).over(frame) == rows, stat.over(frame))
+    return F.when(F.count(F.nanvl(value, F.lit(None).cast("double"))).over(frame) == rows, stat.over(frame))
 
 
 def lag_columns(w: WindowSpec, column: str = "close", lags: Sequence[int] = LAGS) -> dict[str, Column]:

@@ -64,13 +64,17 @@ def with_smoothed_indicators(df: DataFrame, w: WindowSpec, parts: Sequence[Smoot
 
 
 def rsi(w: WindowSpec, periods: dict[str, int]) -> Smoothed:
-    """Relative strength index; the first bar counts as no change."""
+    """Relative strength index of the bars whose close moved; NULL where it stands still (see ``features.with_rsi``).
+
+    The first bar counts as no change.
+    """
     change = F.coalesce(F.col("close") - F.lag("close").over(w), F.lit(0.0))
     lengths = sorted(set(periods.values()))
 
     def index(n: int) -> Column:
         gain, loss = F.col(f"_gain_{n}"), F.col(f"_loss_{n}")
-        return from_row(n - 1, F.when(loss == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.try_divide(gain, loss))))
+        value = F.when(loss == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.try_divide(gain, loss)))
+        return F.when((F.col("_gain") > 0) | (F.col("_loss") > 0), value)
 
     return Smoothed(
         {"_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0))},
@@ -122,10 +126,10 @@ def with_atr(df: DataFrame, w: WindowSpec) -> DataFrame:
     return with_smoothed_indicators(df.withColumn("_range", true_range(w)), w, [atr(w)]).drop("_range")
 
 
-def with_oscillators(df: DataFrame, w: WindowSpec, periods: dict[str, int]) -> DataFrame:
-    """RSI, MACD and ATR in two smoothing steps."""
+def with_ranges(df: DataFrame, w: WindowSpec) -> DataFrame:
+    """MACD and ATR in two smoothing steps."""
     ranged = df.withColumn("_range", true_range(w))
-    df = with_smoothed_indicators(ranged, w, [rsi(w, periods), macd(), atr(w)]).drop("_range")
+    df = with_smoothed_indicators(ranged, w, [macd(), atr(w)]).drop("_range")
     return with_smoothed_indicators(df, w, [macd_signal()])
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from barloom.functions import timeparts
 from barloom.operators import rolling, technical
-from barloom.operators.layout import Layout, over_chunks, running_totals, with_previous
+from barloom.operators.layout import Layout, carried_forward, over_chunks, running_totals, with_previous
+from barloom.operators.metrics import present
+from barloom.session import materialized
 
 KEYS = ("series", "ts")
 OHLCV = ("open", "high", "low", "close", "volume")
@@ -80,7 +82,7 @@ def enhanced_spec(horizons: Sequence[int] = rolling.HORIZONS) -> FeatureSpec:
 
 def priced(bars: DataFrame) -> DataFrame:
     """Bars without a close cannot enter an indicator; the quality report counts them."""
-    return bars.where(F.col("close").isNotNull())
+    return bars.where(present(F.col("close")))
 
 
 def simple_features(bars: DataFrame, layout: Layout, horizons: Sequence[int] = SIMPLE_HORIZONS) -> DataFrame:
@@ -108,6 +110,22 @@ def with_obv(bars: DataFrame, layout: Layout) -> DataFrame:
     return running_totals(stepped, layout, totals).drop("_previous").withColumn("pos", F.col("pos") - 1)
 
 
+def with_rsi(bars: DataFrame, layout: Layout, periods: dict[str, int]) -> DataFrame:
+    """Relative strength of priced bars, and ``pos``.
+
+    While the close stands still both averages fade alike and the index keeps its value, however long that lasts. So it is
+    computed where the close moves, where fading history is enough, and carried forward from there over any number of chunks.
+    """
+    def build(df: DataFrame, w: WindowSpec) -> DataFrame:
+        return technical.with_rsi(df, w, periods)
+
+    kept = [c for c in bars.columns if c != "pos"]
+    moved = over_chunks(bars, layout, technical.HISTORY_ROWS, 0, build, columns=kept, keep_position=True)
+    carried = carried_forward(materialized(moved, "rsi"), layout, list(periods))
+    # before the first move there was no loss
+    return carried.withColumns({k: technical.from_row(n - 1, F.coalesce(F.col(k), F.lit(100.0))) for k, n in periods.items()})
+
+
 def technical_table(
     bars: DataFrame,
     layout: Layout,
@@ -121,7 +139,7 @@ def technical_table(
 
     def build(df: DataFrame, w: WindowSpec) -> DataFrame:
         df = rolling.with_rolling(df, w, "close", windows, stats)
-        df = technical.with_oscillators(df, w, rsi)
+        df = technical.with_ranges(df, w)
         df = technical.with_stochastic(df, w)
         if "cci" in wanted:
             df = technical.with_cci(df, w)
@@ -136,10 +154,12 @@ def technical_table(
         return df.withColumns({k: c for k, c in cols.items() if k in wanted or k in spec.targets})
 
     before = max(technical.HISTORY_ROWS, *windows, *rolling.LAGS)
-    inputs = [*KEYS, *OHLCV]
-    rows = priced(bars).select(*inputs)
+    inputs = [*KEYS, *OHLCV, *rsi]
+    # the ticks are read once, for a table that the passes below share
+    rows = materialized(priced(bars).select(*KEYS, *OHLCV), "bars")
     if "obv" in wanted:
         rows, inputs = with_obv(rows, layout), [*inputs, "obv"]
+    rows = with_rsi(rows, layout, rsi)
     wide = over_chunks(rows, layout, before, max(spec.horizons), build, columns=inputs, heavy=True)
     ts = F.col("ts")
     scalars = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,20 +16,25 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A private folder is made only for a local master, where all tasks share this machine.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or one in the warehouse where that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="barloom-")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new place for an intermediate table. It is removed when the process ends, if the session is still up."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_removed, spark, path)
+    return path
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder through Spark's own file system, wherever it is."""
+    context = spark.sparkContext
+    if context._jsc is None:  # the session was stopped
+        return
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:

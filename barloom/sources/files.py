@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.operators.metrics import present
 from barloom.session import prepare
 
 OHLCV_SCHEMA = T.StructType(
@@ -30,7 +31,7 @@ def read_bars_csv(spark: SparkSession, path: str, series: str | None = None) ->
 
 def split_rejects(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable bars, and those without a stamp or a close."""
-    usable = F.col("ts").isNotNull() & F.col("close").isNotNull()
+    usable = F.coalesce(F.col("ts").isNotNull() & present(F.col("close")), F.lit(False))
     return bars.where(usable), bars.where(~usable)
 
 

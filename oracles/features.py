@@ -153,10 +153,25 @@ def whole(cols: dict[str, str]) -> str:
     return shaped(f"{WITH_1H} SELECT series, ts, {picked(cols)} FROM bars", "", " ".join(cols))
 
 
+# Prices that move on two days in thirty.
+FLAT_1S = f"""SELECT * REPLACE (CASE WHEN epoch(ts)::BIGINT % 2592000 < 172800 THEN close ELSE 100.0 END AS close) FROM ({BARS_1S})"""
+
+
 def stats(*names: str) -> dict[str, str]:
     return {f"close_{s}_{n}": ROLLED[f"close_{s}_{n}"] for n in WINDOWS for s in names}
 
 
+SECOND = {**stats("ma", "std", "median")}
+SECOND = {k: v for k, v in SECOND.items() if k.rsplit("_", 1)[1] in ("5", "60", "240")} | {"cci": "CASE WHEN tp_mean IS NOT NULL THEN cci END"}
+SECOND_INDICATORS = shaped(
+    f"""WITH RECURSIVE {STAGES.replace(BARS_1H, BARS_1S)}, {SMOOTHED},
+framed AS (SELECT series, ts, {picked(SECOND)} FROM bars),
+smooth AS (SELECT series, ts, {picked({**MACD, "atr": "atr"})} FROM smoothed)
+SELECT * FROM framed JOIN smooth USING (series, ts)""",
+    " ".join([*SECOND, *MACD, "atr"]),
+)
+
+
 SIMPLE = {
     **{f"close_lag_{k}": LAG[f"close_lag_{k}"] for k in (1, 2, 5, 10)},
     **{f"close_{s}_{n}": rolled((5, 20))[f"close_{s}_{n}"] for n in (5, 20) for s in ("ma", "std")},
@@ -246,6 +261,8 @@ FROM ({clean_table(BARS_1D)}) GROUP BY series""",
     "obv": select({"obv": "obv"}, f"WITH {STAGES}"),
     "ema": select(EMA, WITH_STAGES, "smoothed"),
     "rsi": select(RSI, WITH_STAGES, "smoothed"),
+    "rsi_flat_runs": select(RSI, f"WITH RECURSIVE {STAGES.replace(BARS_1H, FLAT_1S)}, {SMOOTHED}", "smoothed"),
+    "second_indicators": SECOND_INDICATORS,
     "macd": select(MACD, WITH_STAGES, "smoothed"),
     "atr": select({"atr": "atr"}, WITH_STAGES, "smoothed"),
     "basic_features": complete(BASIC_WINDOWS, BASIC),

@@ -148,9 +148,9 @@ ORACLES = {
   'above_' || CAST(trunc(close) AS BIGINT), 'below_' || CAST(trunc(close * 0.98::DOUBLE) AS BIGINT),
   'between_' || CAST(trunc(close * 0.995::DOUBLE) AS BIGINT) || '_' || CAST(trunc(close * 1.005::DOUBLE) AS BIGINT),
   'price']) AS query FROM bars),
-digits AS (SELECT *, regexp_extract_all(query, '\\d+') AS d FROM named)
+digits AS (SELECT *, regexp_extract_all(query, '-?\\d+(?:\\.\\d+)?') AS d FROM named)
 SELECT series, ts, query, CASE WHEN query LIKE '%between%' THEN 'between' WHEN query LIKE '%above%' THEN 'above'
-  WHEN query LIKE '%below%' THEN 'below' END AS op, coalesce(CAST(d[1] AS DOUBLE), 65000) AS low,
+  WHEN query LIKE '%below%' THEN 'below' END AS op, CAST(d[1] AS DOUBLE) AS low,
   CASE WHEN query LIKE '%between%' THEN CAST(d[2] AS DOUBLE) END AS high FROM digits""",
         "low high",
     ),

@@ -140,10 +140,10 @@ def test_evenly_spaced_grid(spark):
 
 
 def test_names(spark):
-    df = spark.createDataFrame([("between_10_20",), ("above_500",), ("below_0.5pct",), ("other",)], "q string")
+    df = spark.createDataFrame([("between_10_20",), ("above_500",), ("below_-0.5pct",), ("other",)], "q string")
     low, high = labels.query_bounds(F.col("q"))
     got = [tuple(r) for r in df.select(low, high).collect()]
-    assert got == [(10.0, 20.0), (500.0, None), (0.0, None), (65000.0, None)]
+    assert got == [(10.0, 20.0), (500.0, None), (-0.5, None), (None, None)]
     one = spark.range(1)
     assert one.select(labels.round_to_hundred(F.lit(1250.0))).first()[0] == 1200.0
     assert one.select(labels.percent_label(F.lit(0.29))).first()[0] == "29"
