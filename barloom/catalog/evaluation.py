@@ -113,7 +113,7 @@ FEATURES = features.simple_spec().features
 
 
 def _train(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = splits.positional_split(clean(spark, sf_dir), HOURLY)
+    rows = materialized(splits.positional_split(clean(spark, sf_dir), HOURLY), "parts")
     return rows.where("part = 'train'"), rows
 
 

@@ -1,4 +1,8 @@
-"""Forecasters fitted and applied on hourly bars. Small models: the data is, too."""
+"""Forecasters fitted and applied on hourly bars.
+
+Fitted values depend on the library's random numbers, so besides the forecasts themselves there are checks of what must hold
+for any fit: row keys and counts, order and mean of members, normal equations, equality after storage.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from barloom.catalog.forecasts import ensemble
 from barloom.catalog.tables import HOURLY, bars_1h, finish
 from barloom.operators import calibration, probability, splits
 from barloom.plans import features, models
-from barloom.session import scratch_path
+from barloom.session import materialized, scratch_path
 
 HORIZONS = (1, 5, 20)
 SPEC = features.FeatureSpec(features.simple_spec().features, HORIZONS)
@@ -21,7 +25,7 @@ SPEC = features.FeatureSpec(features.simple_spec().features, HORIZONS)
 
 def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Training and test rows of the feature table."""
-    rows = splits.positional_split(clean(spark, sf_dir), HOURLY)
+    rows = materialized(splits.positional_split(clean(spark, sf_dir), HOURLY), "parts")
     return rows.where("part = 'train'").drop("part"), rows.where("part = 'test'").drop("part")
 
 
@@ -77,7 +81,7 @@ def sampled_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rolling_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = clean(spark, sf_dir)
     fit_one = partial(models.fit, spec=SPEC, kind="ridge")
-    return finish(models.rolling_validation(table, fit_one, min_train_rows=150, every=7))
+    return finish(models.rolling_validation(table, fit_one, min_train_rows=150))
 
 
 def walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,12 +106,80 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quick_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The small demonstration run: recent bars, small forest, errors on the held-out rows."""
-    model, held_out = models.quick_train(bars_1h(spark, sf_dir), HOURLY, SPEC, rows=500)
+    """The small demonstration run: small forest, errors on the held-out rows."""
+    model, held_out = models.quick_train(bars_1h(spark, sf_dir), HOURLY, SPEC)
     return finish(models.evaluate(model, held_out))
 
 
+def member_check(members: DataFrame) -> DataFrame:
+    """Per series and horizon: rows, members each, rows whose quantiles fall or whose mean of members isn't the forecast."""
+    q = probability.member_quantiles(members).groupBy("series", "ts", "horizon").agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("v"))
+    values = F.transform("v", lambda x: x["value"])
+    falls = F.exists(F.zip_with(F.slice(values, 1, F.size(values) - 1), F.slice(values, 2, F.size(values) - 1), lambda a, b: b < a), lambda x: x)
+    mean = F.aggregate("members", F.lit(0.0), lambda s, x: s + x) / F.size("members")
+    off = F.abs(mean - F.col("prediction")) > 1e-6 * F.abs(F.col("prediction"))
+    rows = members.join(q.select("series", "ts", "horizon", falls.alias("falls")), ["series", "ts", "horizon"])
+    return rows.groupBy("series", "horizon").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.size("members")).alias("members"),
+        F.sum(F.col("falls").cast("bigint")).alias("falling"), F.sum(off.cast("bigint")).alias("off_mean"),
+    )
+
+
+def forest_check(spark: SparkSession, sf_dir: str, params: dict) -> DataFrame:
+    train, test = prepared(spark, sf_dir)
+    model = models.fit(train, SPEC, "random_forest", params)
+    return finish(member_check(materialized(model.tree_members(test), "members")))
+
+
+def importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances of a forecaster add up to 1."""
+    train, _ = prepared(spark, sf_dir)
+    found = forest(train).importances(spark).groupBy("horizon")
+    return finish(found.agg(F.sum("importance").alias("total"), F.sum((F.col("importance") < 0).cast("bigint")).alias("negative")))
+
+
+def normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the gradient of the linear and ridge losses, relative to the label's spread: nothing."""
+    train, _ = prepared(spark, sf_dir)
+    out = []
+    for kind, penalty in (("linear", 0.0), ("ridge", models.RIDGE_ALPHA)):
+        model = models.fit(train, SPEC, kind)
+        fitted = model.pipeline.transform(train)
+        for h, m in model.regressors.items():
+            left = F.col(f"target_{h}") - F.col(f"prediction_{h}")
+            parts = [
+                F.struct(F.lit(f).alias("feature"), ((F.sum(F.col(f"scaled_{f}") * left) - penalty * float(w)) / (F.count(F.lit(1)) * F.stddev_pop(f"target_{h}"))).alias("gradient"))
+                for f, w in zip(model.features, m.coefficients.toArray(), strict=True)
+            ]
+            out.append(fitted.agg(F.array(*parts).alias("g")).select(F.lit(kind).alias("kind"), F.lit(h).alias("horizon"), F.inline("g")))
+    return finish(models._stacked(out).withColumn("gradient", F.abs(F.round("gradient", 4))))
+
+
+def rolling_windows_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that were fitted and scored, with their bounds and row counts."""
+    bounds = ["split", "train_start", "train_end", "test_start", "test_end", "train_samples", "test_samples"]
+    return finish(rolling_validation(spark, sf_dir).groupBy(*bounds).agg(F.count(F.lit(1)).alias("scores")))
+
+
+def walk_forward_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finish(walk_forward(spark, sf_dir).groupBy("split", "train_samples", "test_samples").agg(F.count(F.lit(1)).alias("scores")))
+
+
+def roundtrip_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reloaded model forecasts what the stored one does."""
+    gap = F.abs(F.col("prediction") - F.col("reloaded"))
+    return finish(model_roundtrip(spark, sf_dir).select("series", "ts", "horizon", gap.alias("gap")))
+
+
 QUERIES: dict[str, Query] = {
+    "rf_member_check": partial(forest_check, params=models.QUICK_FOREST),
+    "rf_member_check_small": partial(forest_check, params=models.SMALL_FOREST),
+    "rf_member_check_full": partial(forest_check, params=models.FOREST),
+    "importance_check": importance_check,
+    "normal_equations": normal_equations,
+    "rolling_windows_fitted": rolling_windows_fitted,
+    "walk_forward_fitted": walk_forward_fitted,
+    "roundtrip_check": roundtrip_check,
     "rf_forecast": partial(forecast, kind="random_forest", params=models.QUICK_FOREST),
     "gbt_forecast": partial(forecast, kind="boosting", params={"maxIter": 5}),
     "linear_forecast": partial(forecast, kind="linear", params={}),

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator, Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,18 +79,18 @@ class Forecaster:
 
     def tree_members(self, table: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Long rows with the sorted predictions of the single trees as ``members``."""
-        stages, columns = [], {}
-        for h, forest in self.regressors.items():
-            columns[h] = [f"_tree_{h}_{k}" for k in range(len(forest.trees))]
-            stages += [t.setPredictionCol(c) for t, c in zip(forest.trees, columns[h], strict=True)]
+        stages = [m.copy().setLeafCol(f"_leaf_{h}") for h, m in self.regressors.items()]
         voted = PipelineModel(stages).transform(self._vectors(table))
+
+        def members(h: int, forest: Model) -> Column:
+            # one vector of leaf numbers for a row; the leaves' values are one literal
+            values = F.from_json(F.lit(json.dumps([leaf_values(t) for t in forest.trees])), "array<array<double>>")
+            leaves = vector_to_array(F.col(f"_leaf_{h}"))
+            return F.sort_array(F.transform(leaves, lambda leaf, tree: F.get(F.get(values, tree), leaf.cast("int"))))
+
         pairs = [
-            F.struct(
-                F.lit(h).alias("horizon"),
-                (sum((F.col(c) for c in cols[1:]), F.col(cols[0])) / len(cols)).alias("prediction"),
-                F.sort_array(F.array(*cols)).alias("members"),
-            )
-            for h, cols in columns.items()
+            F.struct(F.lit(h).alias("horizon"), F.col(f"prediction_{h}").alias("prediction"), members(h, m).alias("members"))
+            for h, m in self.regressors.items()
         ]
         return voted.select("series", "ts", *keep, F.inline(F.array(*pairs)))
 
@@ -102,6 +104,11 @@ class Forecaster:
         return spark.createDataFrame(rows, "feature string, horizon int, importance double")
 
 
+def leaf_values(tree: Model) -> list[float]:
+    """Predictions of a tree's leaves, in the order of their numbers: left before right."""
+    return [float(x) for x in re.findall(r"Predict: (\S+)", tree.toDebugString)]
+
+
 def vectorizer(train: DataFrame, features: Sequence[str]) -> PipelineModel:
     """Robust scaling learned on the training rows, then one feature vector."""
     scale = scaling.robust_scaling(train, features)
@@ -199,12 +206,11 @@ def quick_train(
     bars: DataFrame,
     layout: Layout,
     spec: FeatureSpec,
-    rows: int = 10_000,
     kind: str = "random_forest",
     params: dict | None = None,
 ) -> tuple[Forecaster, DataFrame]:
-    """Fit on the first 80 % of the last ``rows`` bars of each series; returns the held-out rows, too."""
-    table = clean_rows(simple_features(splits.tail(bars, rows, layout), layout, spec.horizons), spec)
+    """Fit a small forest on the first 80 % of the bars of each series; returns the held-out rows, too."""
+    table = clean_rows(simple_features(bars, layout, spec.horizons), spec)
     parts = materialized(splits.positional_split(table, layout), "quick")
     model = fit(parts.where("part = 'train'"), spec, kind, params or QUICK_FOREST)
     return model, parts.where("part = 'test'").drop("part")
@@ -220,20 +226,16 @@ def rolling_validation(
     test_days: int = 1,
     step_days: int = 1,
     min_train_rows: int = 1000,
-    every: int = 1,
 ) -> DataFrame:
-    """Fit and score a fresh forecaster on every ``every``-th sliding window over all series.
+    """Fit and score a fresh forecaster on every sliding window over all series.
 
     The driver walks the split table (one row per window); rows stay distributed, and each
     window reads its own time range only.
     """
     pooled = table.select(F.lit("all").alias("series"), "ts")
-    windows = (
-        splits.rolling_splits(pooled, train_days, test_days, step_days, min_train_rows)
-        .where((F.col("split") - 1) % every == 0)
-        .orderBy("split")
-        .collect()
-    )
+    windows = splits.rolling_splits(pooled, train_days, test_days, step_days, min_train_rows).orderBy("split").collect()
+    tested = [F.sum(((F.col("ts") >= w.test_start) & (F.col("ts") < w.test_end)).cast("bigint")).alias(f"_{w.split}") for w in windows]
+    counts = table.agg(F.count(F.lit(1)), *tested).first()
     out = []
     for w in windows:
         train = table.where((F.col("ts") >= w.train_start) & (F.col("ts") < w.train_end))
@@ -245,6 +247,7 @@ def rolling_validation(
                 F.lit(w.split).alias("split"),
                 *[F.lit(w[c]).alias(c) for c in ("train_start", "train_end", "test_start", "test_end")],
                 F.lit(w.train_samples).alias("train_samples"),
+                F.lit(counts[f"_{w.split}"]).alias("test_samples"),
             )
         )
     return _stacked(out)
@@ -254,16 +257,18 @@ def walk_forward(
     table: DataFrame, fit_one: FitOne, layout: Layout, n_splits: int = 5, test_size: float = 0.2
 ) -> DataFrame:
     """Expanding-window validation by row position, the same share of every series in each split."""
-    placed = positions(table, layout)
+    placed = materialized(positions(table, layout), "placed")
     sizes = placed.groupBy("series").agg((F.max("pos") + 1).alias("size"))
     cuts = splits.walk_forward_splits(sizes, n_splits, test_size).drop("train_rows")
     out = []
     for i in range(1, n_splits + 1):
-        rows = attach(placed, cuts.where(F.col("split") == i))
+        rows = materialized(attach(placed, cuts.where(F.col("split") == i)), "split")
         train, test = rows.where("pos < test_start_pos"), rows.where("pos >= test_start_pos and pos < test_end_pos")
-        if train.isEmpty():
+        counts = {"train_samples": train.count(), "test_samples": test.count()}
+        if not counts["train_samples"]:
             break
-        out.append(evaluate(fit_one(train), test).withColumn("split", F.lit(i)))
+        scored = evaluate(fit_one(train), test).withColumn("split", F.lit(i))
+        out.append(scored.withColumns({k: F.lit(v) for k, v in counts.items()}))
     return _stacked(out)
 
 
