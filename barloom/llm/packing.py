@@ -44,16 +44,40 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size()
+        self.closes = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(size)])
         self.cache: dict[bytes, bytes] = {}
 
+    def learn(self, new: set[bytes]) -> None:
+        """Words of letters are one token group each, so they are encoded as one text and cut at word ends.
+
+        A full stop or comma after a letter is a token of its own, so words are encoded without it.
+        """
+        marked = [w for w in new if w[-1] in b".," and w[-2:-1].isalpha()]
+        wanted = {w[:-1] for w in marked} | {b".", b","} | new.difference(marked)
+        words = list(map(bytes.decode, wanted.difference(self.cache)))
+        plain = list(filter(str.isalpha, words))
+        rest = [w for w in words if not w.isalpha()]
+        for at in range(0, len(plain), 5000):
+            part = plain[at : at + 5000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+            if len(ends) == len(part):
+                raw = ids.tobytes()
+                self.cache.update(zip(map(str.encode, part), [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+            else:  # letters whose lower case is no letter alone break words up
+                rest += part
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.cache[w.encode()] = np.array(e.ids, "<u4").tobytes()
+        for w in marked:
+            self.cache[w] = self.cache[w[:-1]] + self.cache[w[-1:]]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text, the closing 0 included."""
         cut = [t.encode().split() for t in texts]
         if len(self.cache) > CACHE:
             self.cache.clear()
-        new = list(set().union(*cut).difference(self.cache))
-        got = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.cache.update(zip(new, [np.array(e.ids, "<u4").tobytes() for e in got], strict=True))
+        self.learn(set().union(*cut).difference(self.cache))
         found = self.cache.__getitem__
         return [b"".join(map(found, words)) + b"\0\0\0\0" for words in cut]
 
