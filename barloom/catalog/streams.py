@@ -24,14 +24,19 @@ def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bar_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly bars that landed in three deliveries; a series has one file in each, read in order."""
+def deliveries(spark: SparkSession, sf_dir: str, parts: int = 3) -> tuple[str, DataFrame, list[DataFrame]]:
+    """A landing folder, the stream that reads it, and hourly bars to land there: equal parts of the time they span."""
     bars = materialized(bars_1h(spark, sf_dir), "bars")
+    span = bars.agg(F.min(F.unix_seconds("ts")).alias("first"), F.max(F.unix_seconds("ts")).alias("last")).first()
     landed = scratch_path(spark, "landed")
-    for since, until in (("1970-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
-        delivery = bars.where((F.col("ts") >= F.lit(since).cast("timestamp")) & (F.col("ts") < F.lit(until).cast("timestamp")))
-        delivery.repartition(2, "series").write.mode("append").parquet(landed)
-    return intake.read_files(spark, landed, bars.schema, name="*.parquet", max_files=2)
+    bars.limit(0).write.parquet(landed)
+    first, width = span.first or 0, ((span.last or 0) - (span.first or 0)) // parts + 1
+    part = F.expr(f"(unix_seconds(ts) - {first}) div {width}")
+    return landed, intake.read_files(spark, landed, bars.schema, name="*.parquet"), [bars.where(part == k) for k in range(parts)]
+
+
+def land(delivery: DataFrame, folder: str) -> None:
+    delivery.write.mode("append").parquet(folder)
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,8 +55,24 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(intake.drain(intake.sliding_stats(tick_stream(spark, sf_dir), "120 minutes", "60 minutes"), "sliding"))
 
 
+def featured(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
+    """Stream features of bars that land and are read in turn, the first delivery once more at the end if ``again``."""
+    landed, bars, parts = deliveries(spark, sf_dir)
+    path = scratch_path(spark, "features")
+    for delivery in [*parts, *parts[: int(again)]]:
+        land(delivery, landed)
+        rows = intake.drain(stateful.simple_features(bars), "features", path=path)
+    return rows
+
+
 def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(intake.drain(stateful.simple_features(bar_stream(spark, sf_dir)), "features"))
+    return finish(featured(spark, sf_dir).where("not late").drop("late"))
+
+
+def stream_late_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars that came after later ones of their series, counted apart from those that got features."""
+    rows = featured(spark, sf_dir, again=True).groupBy("series")
+    return finish(rows.agg(F.sum((~F.col("late")).cast("bigint")).alias("in_time"), F.sum(F.col("late").cast("bigint")).alias("late")))
 
 
 def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +80,11 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = prepared(spark, sf_dir)
     model = forest(train)
     path = scratch_path(spark, "scores")
-    rows = stateful.simple_features(bar_stream(spark, sf_dir)).select("series", "ts", "close", *SPEC.features)
-    scoring.score_stream(rows, model, f"{path}/scores", f"{path}/checkpoint", keep_input=f"{path}/rows").awaitTermination()
+    landed, bars, parts = deliveries(spark, sf_dir)
+    rows = stateful.simple_features(bars).where("not late").select("series", "ts", "close", *SPEC.features)
+    for delivery in parts:
+        land(delivery, landed)
+        scoring.score_stream(rows, model, f"{path}/scores", f"{path}/checkpoint", keep_input=f"{path}/rows").awaitTermination()
     return finish(scoring.read_scores(spark, f"{path}/scores"))
 
 
@@ -69,5 +93,6 @@ QUERIES: dict[str, Query] = {
     "stream_bars": stream_bars,
     "stream_sliding": stream_sliding,
     "stream_features": stream_features,
+    "stream_late_bars": stream_late_bars,
     "stream_scoring": stream_scoring,
 }

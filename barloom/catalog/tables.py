@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators.layout import Layout
 from barloom.session import prepare
-from barloom.sources.bars import resample
+from barloom.sources.bars import packed, resample
 
 DAILY = Layout(step_seconds=86_400, chunk_rows=65_536)
 HOURLY = Layout(step_seconds=3_600, chunk_rows=65_536)
 SECONDS = Layout(step_seconds=1, chunk_rows=65_536)
-TRADE_ORDER = (
-    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-    "l_tax", "l_linestatus",
-)
+#: Trades of one price and quantity are alike, so this order decides every open and close.
+TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_quantity", "cents")
+
+
+def trade_rank() -> Column:
+    return packed(("l_orderkey", 15), ("l_linenumber", 4), ("l_quantity", 6), ("cents", 13))
+
+
+def tick_rank() -> Column:
+    """Stamps to the microsecond, then the id."""
+    return packed(("micros", 18), ("event_id", 19))
+
+
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +39,8 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("ts"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("volume"),
-        *TRADE_ORDER,
+        "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
     )
 
 
@@ -42,26 +52,27 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("double").alias("volume"),
         "event_id",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"),
     )
 
 
 def bars_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample(trades(spark, sf_dir), DAILY.step_seconds, TRADE_ORDER)
+    return resample(trades(spark, sf_dir), DAILY.step_seconds, trade_rank())
 
 
 def bars_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample(ticks(spark, sf_dir), HOURLY.step_seconds, ("ts", "event_id"))
+    return resample(ticks(spark, sf_dir), HOURLY.step_seconds, tick_rank())
 
 
 def bars_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-second bars: as many as there are events, give or take."""
-    return resample(ticks(spark, sf_dir), SECONDS.step_seconds, ("ts", "event_id"))
+    return resample(ticks(spark, sf_dir), SECONDS.step_seconds, tick_rank())
 
 
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars of many series, one per supplier."""
     sold = trades(spark, sf_dir).withColumn("series", F.col("l_suppkey").cast("string"))
-    return resample(sold, DAILY.step_seconds, TRADE_ORDER)
+    return resample(sold, DAILY.step_seconds, trade_rank())
 
 
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -3,21 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.timeparts import time_bucket
 from barloom.operators.layout import attach
 
 
-def resample(ticks: DataFrame, step_seconds: int, order: Sequence[str]) -> DataFrame:
+def packed(*parts: tuple[str, int]) -> Column:
+    """Whole-number columns as the digits of one decimal, so that a hash aggregate can hold it.
+
+    ``parts`` names columns with the digits each may take; a value beyond them fails the query (NULL sorts first). 38 digits fit.
+    """
+    if sum(n for _, n in parts) > 38:
+        raise ValueError("an order key has at most 38 digits")
+    out = F.lit(0).cast("decimal(38,0)")
+    for name, digits in parts:
+        value = F.coalesce(F.col(name).cast("bigint"), F.lit(-1)) + 1
+        fits = (value >= 0) & (value < F.lit(Decimal(10**digits)).cast("decimal(38,0)"))
+        checked = F.when(fits, value).otherwise(F.raise_error(F.concat(F.lit(f"{name} has more than {digits} digits: "), value)).cast("bigint"))
+        out = (out * F.lit(Decimal(10**digits)).cast("decimal(38,0)") + checked).cast("decimal(38,0)")
+    return out
+
+
+def resample(ticks: DataFrame, step_seconds: int, order: Sequence[str] | Column) -> DataFrame:
     """OHLCV bars from ``(series, ts, price, volume)`` ticks.
 
-    ``order`` lists the columns that put the ticks of a bar in a total order. All aggregates
-    combine map-side, so a crowded bar costs one row per task.
+    ``order`` puts the ticks of a bar in a total order: one column (see ``packed``), with which Spark aggregates by hashing, or
+    the names of several, for which it sorts. All aggregates combine map-side, so a crowded bar costs one row per task.
     """
-    rank = F.struct(*order)
+    rank = order if isinstance(order, Column) else F.struct(*order)
     return (
         ticks.groupBy("series", time_bucket(F.col("ts"), step_seconds).alias("ts"))
         .agg(

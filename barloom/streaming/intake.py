@@ -61,10 +61,13 @@ def sliding_stats(stream: DataFrame, length: str, slide: str, delay: str = DELAY
     )
 
 
-def drain(stream: DataFrame, name: str, *, mode: str = "append") -> DataFrame:
-    """Run a stream over everything available into files of the shared folder, and read them."""
+def drain(stream: DataFrame, name: str, *, mode: str = "append", path: str | None = None) -> DataFrame:
+    """Run a stream over everything available into files of the shared folder, and read them.
+
+    With the ``path`` of an earlier run it goes on from there.
+    """
     spark = stream.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     query = (
         stream.writeStream.format("parquet")
         .outputMode(mode)

@@ -29,9 +29,11 @@ def score_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # it is read several times, and its features need not be made again each time
         if keep_input:
             batch.write.mode("overwrite").parquet(f"{keep_input}/batch_id={batch_id}")
         score_latest(model, batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.unpersist()
 
     return (
         features.writeStream.foreachBatch(write)

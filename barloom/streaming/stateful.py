@@ -31,6 +31,7 @@ STATE = "bars array<struct<ts:timestamp,close:double,volume:double>>"
 OUTPUT = T.StructType(
     [T.StructField("series", T.StringType()), T.StructField("ts", T.TimestampType())]
     + [T.StructField(c, T.DoubleType()) for c in (*VALUES, *NAMES)]
+    + [T.StructField("late", T.BooleanType())]
 )
 
 
@@ -60,18 +61,24 @@ def extend(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.Da
     if state.exists:
         kept = pd.DataFrame([tuple(bar) for bar in state.get[0]], columns=columns)
         kept["ts"] = pd.to_datetime(kept["ts"])
-        # a bar at or before the last one seen came too late to keep the order
-        new = new[new["ts"] > kept["ts"].iloc[-1]].reset_index(drop=True)
+        # a bar at or before the last one seen came too late for features; it is handed on as it is, marked
+        late = new["ts"] <= kept["ts"].iloc[-1]
+        if late.any():
+            yield new.loc[late, ["series", "ts", *VALUES]].assign(**dict.fromkeys(NAMES, float("nan")), late=True)[OUTPUT.names]
+        new = new[~late].reset_index(drop=True)
         if new.empty:
             return
         known, history = len(kept), pd.concat([kept, new[columns]], ignore_index=True)
     features = simple_columns(history["close"].astype(float), history["volume"].astype(float))
     tail = history.iloc[-KEPT:]
     state.update(([(t.to_pydatetime(), c, v) for t, c, v in tail.itertuples(index=False)],))
-    yield pd.concat([new[["series", "ts", *VALUES]], features.iloc[known:].reset_index(drop=True)], axis=1)
+    yield pd.concat([new[["series", "ts", *VALUES]], features.iloc[known:].reset_index(drop=True)], axis=1).assign(late=False)
 
 
 def simple_features(bars: DataFrame) -> DataFrame:
-    """Simple features of a bar stream, one row per bar in time order per series."""
+    """Simple features of a bar stream, one row per bar in time order per series.
+
+    Bars that arrive after a later one of their series are marked ``late`` and have no features: count or store them apart.
+    """
     ordered = bars.select("series", "ts", *VALUES)
     return ordered.groupBy("series").applyInPandasWithState(extend, OUTPUT, STATE, "append", "NoTimeout")

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 BARS_1D = """
 SELECT l_returnflag AS series, date_trunc('day', l_shipdate) AS ts,
-  first(l_extendedprice / l_quantity ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-    l_extendedprice, l_discount, l_tax, l_linestatus) AS open,
+  first(l_extendedprice / l_quantity ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) AS open,
   max(l_extendedprice / l_quantity) AS high,
   min(l_extendedprice / l_quantity) AS low,
-  last(l_extendedprice / l_quantity ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-    l_extendedprice, l_discount, l_tax, l_linestatus) AS close,
+  last(l_extendedprice / l_quantity ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) AS close,
   sum(l_quantity) AS volume
 FROM lineitem GROUP BY ALL"""
 

@@ -21,5 +21,8 @@ SELECT series, start_ts, start_ts + INTERVAL 2 HOUR AS end_ts, avg(value) AS mea
 WHERE start_ts + INTERVAL 2 HOUR <= {CLOSED} GROUP BY series, start_ts""",
         "mean std low high",
     ),
+    "stream_late_bars": f"""WITH b AS ({BARS_1H}), span AS (SELECT min(epoch(ts)::BIGINT) AS f, max(epoch(ts)::BIGINT) AS l FROM b)
+SELECT series, count(*) AS in_time, count(*) FILTER ((epoch(ts)::BIGINT - f) // ((l - f) // 3 + 1) = 0) AS late
+FROM b CROSS JOIN span GROUP BY series""",
     "stream_features": shaped(f"SELECT *, {picked(SIMPLE)} FROM ({BARS_1H})", " ".join([OHLCV, *SIMPLE])),
 }

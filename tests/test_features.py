@@ -131,3 +131,37 @@ def test_reconcile_reports_missing_features(spark):
     assert features.reconcile(table, ["open", "rsi"], strict=False) == (["open"], ["rsi"])
     with pytest.raises(ValueError, match="rsi"):
         features.reconcile(table, ["open", "rsi"])
+
+
+def test_rsi_keeps_its_value_while_the_price_stands(spark):
+    """200 moving bars, 4 000 flat ones, 50 moving ones, and one close that is not a number."""
+    f = walk(4250, 3)
+    f.loc[200:4199, "close"] = f.close[199]
+    f.loc[100, "close"] = float("nan")
+    bars = features.priced(spark.createDataFrame(f)).select("series", "ts", "close")
+    got = collected(features.with_rsi(bars, Layout(60, 64), {"rsi_14": 14, "rsi_21": 21}))
+    close = f.close.drop(100).reset_index(drop=True)
+    for n in (14, 21):
+        gain = loss = 0.0
+        want = []
+        for k, d in enumerate(close.diff().fillna(0.0)):
+            gain, loss = gain + (max(d, 0) - gain) / n, loss + (max(-d, 0) - loss) / n
+            want.append(np.nan if k < n - 1 else 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss))
+        same(got[f"rsi_{n}"], want, 1e-7)
+
+
+def test_a_close_that_is_not_a_number_is_missing(spark):
+    f = walk(700, 4)
+    f.loc[300, "close"] = float("nan")
+    got = collected(features.basic_features(spark.createDataFrame(f), Layout(60, 64)))
+    want = collected(features.basic_features(spark.createDataFrame(f.drop(300)), Layout(60, 64)))
+    for c in ("rsi", "macd", "macd_signal", "atr", "close_ma_60"):
+        same(got[c], want[c])
+
+
+@pytest.mark.parametrize("name", ["bars_1d", "bars_1h"])
+def test_bars_aggregate_by_hashing(spark, name):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2

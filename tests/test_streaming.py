@@ -33,12 +33,12 @@ def test_features_across_batches_equal_the_batch_job(spark, tmp_path):
         same(got[c], expected[c])
 
 
-def test_late_bar_is_not_emitted(spark, tmp_path):
+def test_late_bar_is_handed_on_without_features(spark, tmp_path):
     whole = walk(30)
     late = whole.iloc[[2]].assign(close=1.0)
     parts = [whole.iloc[:20].drop(index=2), late, whole.iloc[20:]]
     got = collected(intake.drain(stateful.simple_features(delivered(spark, tmp_path / "in", parts)), "late"))
-    assert len(got) == 29 and 1.0 not in set(got.close)
+    assert len(got) == 30 and set(got[got.late].close) == {1.0} and got[got.late].close_ma_5.isna().all()
 
 
 def test_watermark_closes_bars_and_counts_late_ticks(spark, tmp_path):
