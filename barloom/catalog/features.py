@@ -119,7 +119,7 @@ def persistence_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks to bars to features and targets to errors of the unchanged-price forecast."""
     spec = features.simple_spec()
     forecasts = long_predictions(simple_clean(spark, sf_dir), {"persistence": "close"}, spec.horizons)
-    return finish(error_metrics(forecasts, ["series", "horizon"]), 4)
+    return finish(error_metrics(forecasts, ["series", "horizon"]))
 
 
 def basic_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ def supplier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = materialized(supplier_bars(spark, sf_dir), "bars")
     rows = features.clean_rows(features.simple_features(bars, DAILY), spec)
     forecasts = long_predictions(rows, {"persistence": "close"}, spec.horizons)
-    return finish(error_metrics(forecasts, ["series", "horizon"]), 4)
+    return finish(error_metrics(forecasts, ["series", "horizon"]))
 
 
 HLC = ("high", "low", "close")

@@ -228,8 +228,7 @@ long AS (SELECT series, close AS prediction, unnest([{", ".join(map(str, SIMPLE_
 SELECT series, horizon, sqrt(avg((actual - prediction) ** 2)) AS rmse, avg(abs(actual - prediction)) AS mae,
   avg(abs((actual - prediction) / actual)) * 100 AS mape FROM long GROUP BY series, horizon""",
         "rmse mae mape",
-        "horizon",
-        digits=4,
+        "horizon"
     )
 
 
