@@ -90,6 +90,11 @@ def boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(metrics.box_stats(by_split(spark, sf_dir), "rmse", ["model", "series"]))
 
 
+def boxplot_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spread of each model's error over all series, splits and horizons."""
+    return finish(metrics.box_stats(materialized(by_split(spark, sf_dir), "errors"), "rmse", ["model"]))
+
+
 def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(metrics.residuals(forecasts(spark, sf_dir)).drop("actual", "prediction"))
 
@@ -142,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "model_detail": model_detail,
     "summary_row": summary_row,
     "boxplot_stats": boxplot_stats,
+    "boxplot_by_model": boxplot_by_model,
     "residuals": residuals,
     "pred_vs_actual": pred_vs_actual,
     "robust_scale": robust_scale,

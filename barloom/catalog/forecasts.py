@@ -29,6 +29,10 @@ def member_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(probability.member_quantiles(ensemble(spark, sf_dir)))
 
 
+def pinball_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finish(probability.pinball_loss(probability.member_quantiles(ensemble(spark, sf_dir), keep=["actual"])))
+
+
 def stored_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantiles written with a folder per level; one level is read."""
     path = scratch_path(spark, "quantiles")
@@ -148,6 +152,7 @@ def forecast_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "member_quantiles": member_quantiles,
+    "pinball_loss": pinball_loss,
     "stored_quantiles": stored_quantiles,
     "prediction_intervals": prediction_intervals,
     "interval_coverage": interval_coverage,

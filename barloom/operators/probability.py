@@ -55,12 +55,14 @@ def error_ensemble(bars: DataFrame, layout: Layout, horizons: Sequence[int], mem
     )
 
 
-def member_quantiles(forecasts: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+def member_quantiles(
+    forecasts: DataFrame, quantiles: Sequence[float] = QUANTILES, keep: Sequence[str] = ()
+) -> DataFrame:
     """Long ``(series, ts, horizon, q, value)`` from sorted members."""
     levels = F.array(
         *[F.struct(F.lit(q).alias("q"), sorted_quantile(F.col("members"), q).alias("value")) for q in quantiles]
     )
-    return forecasts.select("series", "ts", "horizon", F.inline(levels))
+    return forecasts.select("series", "ts", "horizon", *keep, F.inline(levels))
 
 
 def prediction_intervals(forecasts: DataFrame, levels: Sequence[float] = INTERVALS, keep: Sequence[str] = ()) -> DataFrame:
@@ -203,6 +205,13 @@ def interval_coverage(intervals: DataFrame, by: Sequence[str] = ("level", "horiz
     )
 
 
+def pinball_loss(quantiles: DataFrame, by: Sequence[str] = ("q", "horizon")) -> DataFrame:
+    """Mean quantile loss of ``(q, value, actual)`` rows; rows without an actual value do not count."""
+    left = F.col("actual") - F.col("value")
+    loss = F.greatest(F.col("q") * left, (F.col("q") - 1) * left)
+    return quantiles.where(present(F.col("actual"))).groupBy(*by).agg(F.avg(loss).alias("loss"), F.count(F.lit(1)).alias("n_samples"))
+
+
 def sampled_distribution(forecasts: DataFrame, samples: int, seed: int = 42) -> DataFrame:
     """``samples`` draws per forecast from its percentile grid: long ``(series, ts, horizon, sample, value)``.
 

@@ -67,7 +67,7 @@ def exact_quantiles(
 
 def _present(c: str) -> Column:
     x = F.col(c).cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)  # an infinite end could never be halved
 
 
 def _narrow(df: DataFrame, searches: Sequence[_Search], accuracy: int) -> None:

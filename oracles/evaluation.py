@@ -106,6 +106,15 @@ SELECT model, series, q1, median, q3, min(rmse) FILTER (rmse >= q1 - 1.5::DOUBLE
 FROM metrics JOIN q USING (model, series) GROUP BY model, series, q1, median, q3""",
         "q1 median q3 whisker_low whisker_high"
     ),
+    "boxplot_by_model": shaped(
+        f"""{METRICS}, q AS (SELECT model, quantile_cont(rmse, 0.25) AS q1, quantile_cont(rmse, 0.5) AS median,
+  quantile_cont(rmse, 0.75) AS q3 FROM metrics GROUP BY model)
+SELECT model, q1, median, q3, min(rmse) FILTER (rmse >= q1 - 1.5::DOUBLE * (q3 - q1)) AS whisker_low,
+  max(rmse) FILTER (rmse <= q3 + 1.5::DOUBLE * (q3 - q1)) AS whisker_high,
+  count(*) FILTER (rmse < q1 - 1.5::DOUBLE * (q3 - q1) OR rmse > q3 + 1.5::DOUBLE * (q3 - q1)) AS outliers
+FROM metrics JOIN q USING (model) GROUP BY model, q1, median, q3""",
+        "q1 median q3 whisker_low whisker_high"
+    ),
     "residuals": shaped(
         f"{METRICS} SELECT series, ts, split, model, horizon, actual - prediction AS residual FROM forecasts",
         "residual",

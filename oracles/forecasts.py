@@ -114,6 +114,17 @@ ORACLES = {
         "q value",
         "horizon",
     ),
+    "pinball_loss": shaped(
+        f"WITH {ENSEMBLE}, levels AS ("
+        + " UNION ALL ".join(
+            f"SELECT horizon, actual, {q}::DOUBLE AS q, {at(f'{q}::DOUBLE')} AS value FROM ens WHERE actual IS NOT NULL"
+            for q in ("0.05", "0.25", "0.5", "0.75", "0.95")
+        )
+        + """) SELECT q, horizon, avg(greatest(q * (actual - value), (q - 1) * (actual - value))) AS loss,
+  count(*) AS n_samples FROM levels GROUP BY q, horizon""",
+        "q loss",
+        "horizon",
+    ),
     "stored_quantiles": shaped(
         f"WITH {ENSEMBLE} SELECT series, ts, horizon, 0.25::DOUBLE AS q, {at('0.25::DOUBLE')} AS value FROM ens",
         "q value",
