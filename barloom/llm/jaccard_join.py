@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm.common import WordHashes, documents, slices
-from barloom.llm.recompression import BASES, Ranges, mixed, texts_of
+from barloom.llm.recompression import BASES, Ranges, mixed, squeezed, texts_of, unpacked
 from barloom.session import materialized
 
 WORDS = 5
@@ -47,8 +47,8 @@ class Shingles:
     def __init__(self):
         self.hashes = WordHashes()
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        words = [t.encode().split() for t in texts]
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        words = [t.split() for t in texts]
         names = self.hashes(words)
         lens = np.fromiter(map(len, words), np.int64, len(words))
         grams = np.where(lens > WORDS, lens - WORDS + 1, np.minimum(lens, 1))
@@ -71,7 +71,7 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
         shingles = Shingles()
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                h, ends = shingles(texts)
+                h, ends = shingles([t.encode() for t in texts])
                 n = np.diff(ends)
                 some = np.flatnonzero(n)
                 at = ends[some]
@@ -108,13 +108,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """Replaces the text by its n-gram set, as sorted little-endian numbers."""
-    names = [c for c in docs.columns if c != "text"]
+    """Replaces the compressed text by its n-gram set, as sorted little-endian numbers."""
+    names = [c for c in docs.columns if c != "packed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in unpacked(batch, batch.schema.get_field_index("packed")):
                 h, ends = shingles(texts)
                 held = [h[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), pa.array(held, pa.binary())], [*names, "grams"])
@@ -218,7 +218,8 @@ def joined(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
     placed = placed.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     placed = materialized(placed, "blocks")
     bins = -(-placed.filter("blocks = 1").count() // TOGETHER)
-    held = sets(docs.select("rid", "text").join(placed, "rid").dropDuplicates(["rid"]))
+    # the texts move whatever the number of candidates: broadcast for few of them would only hide how this grows
+    held = sets(squeezed(docs).drop("doc_id").join(placed.hint("shuffle_merge"), "rid").dropDuplicates(["rid"]))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     spread = held.select("*", other).select("rid", "comp", "copies", "block", "grams",
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(max(bins, 1)))).otherwise(F.col("comp")).alias("g"),
