@@ -170,7 +170,7 @@ def observations(docs: DataFrame) -> DataFrame:
             for _, texts in slices(batch, "text"):
                 texts = [t or "" for t in texts]
                 w = read(texts, [base_spans(t) for t in texts])
-                near = (neighbour_counts(w).reshape(len(w.doc), -1) << 2 * np.arange(2 * LABELS)).sum(1)
+                near = (neighbour_counts(w).reshape(-1, 2 * LABELS) << 2 * np.arange(2 * LABELS)).sum(1)
                 rows, n = np.unique(np.stack([w.code, near, w.label], 1), axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in rows.reshape(-1, 3).T), pa.array(n)], ["code", "near", "label", "n"])
 
