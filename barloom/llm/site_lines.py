@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm.common import SPACE, documents
+from barloom.session import materialized
 
 SITES = 10
 WORDS = 3
@@ -44,11 +45,13 @@ def boilerplate(rows: DataFrame, sites: int, words: int) -> tuple[DataFrame, Dat
     lines = rows.select(F.col("row.source").cast("string").alias("site"), "row.doc_id", "rid", F.explode(listed).alias("line"))
     spread = lines.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"), F.min(F.struct("doc_id", "rid")).alias("first"))
     spread = spread.select("line", "first", F.hll_sketch_estimate("sketch").alias("about")).filter(F.col("about") >= sites * (1 - NEAR))
+    # stored, the few lines left are broadcast by their size, or joined so that Spark can split a frequent line
+    spread = materialized(spread, "spread")
     clear = spread.filter(F.col("about") > sites * (1 + NEAR)).select("line", "first")
     near = spread.filter(F.col("about") <= sites * (1 + NEAR)).select("line", "first")
     exact = lines.select("line", "site").join(near, "line").groupBy("line", "site").agg(F.first("first").alias("first"))
     exact = exact.groupBy("line").agg(F.count("site").alias("n"), F.first("first").alias("first"))
-    return lines, clear.union(exact.filter(F.col("n") >= sites).select("line", "first"))
+    return lines, materialized(clear.union(exact.filter(F.col("n") >= sites).select("line", "first")), "boilerplate")
 
 
 def rewritten(docs: DataFrame, sites: int = SITES, words: int = WORDS) -> DataFrame:
