@@ -309,7 +309,8 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = materialized(rows.join(first, ["t1", "t2"]).filter(F.col("rid") != F.col("first.rid")).select("rid").distinct(), "copies")
     found = materialized(symbols(docs), "symbols")
     repeated = found.filter(F.col("sym") != NO_SYMBOL).groupBy("sym").agg(F.sum("n").alias("n")).filter("n > 1")
-    repeated = repeated.select("sym", (F.col("n") > FREQUENT).alias("often"))
+    # stored, so that both sides of the join are dealt anew and Spark can split a symbol that very many texts share
+    repeated = materialized(repeated.select("sym", (F.col("n") > FREQUENT).alias("often")), "repeated")
     shared = found.select("sym", "rid").join(repeated, "sym").union(found.filter(F.col("sym") == NO_SYMBOL).select("sym", "rid", F.lit(True)))
     by_row = shared.groupBy("rid").agg(
         F.collect_set(F.when(~F.col("often"), F.col("sym"))).alias("few"), F.collect_set(F.when(F.col("often"), F.col("sym"))).alias("many"))
