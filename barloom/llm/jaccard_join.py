@@ -211,6 +211,8 @@ def joined(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
     classes = materialized(classes.select("k1", "k2", "rep.doc_id", "rep.rid", "rep.bands", "copies"), "classes")
     entries = classes.select("rid", F.explode("bands").alias("band"))
     hubs = entries.groupBy("band").agg(F.min("rid").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # stored, so that both sides of the join are dealt anew and Spark can split a band that very many texts share
+    hubs = materialized(hubs, "hubs")
     edges = entries.join(hubs, "band").filter("rid != hub").select(F.col("rid").alias("a"), F.col("hub").alias("b")).distinct()
     nodes = components(edges).withColumnsRenamed({"node": "rid", "label": "comp"})
     sizes = nodes.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
