@@ -52,7 +52,8 @@ def counted(docs: DataFrame) -> DataFrame:
         "n_distinct": F.size(F.array_distinct("w")), "n_digits": F.length(text) - without("0123456789"),
         "n_upper": F.length(text) - without("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     }
-    return rows.select("row", F.struct(*(values[c].cast("long").alias(c) for c in COUNTS)).alias("s"))
+    # a generator, unlike a projection, is not merged into what uses its result: every count is made once for a row
+    return rows.select("row", F.explode(F.array(F.struct(*(values[c].cast("long").alias(c) for c in COUNTS)))).alias("s"))
 
 
 def base_failed(s: Column) -> Column:
@@ -170,8 +171,8 @@ def pruned(rows: DataFrame, rule: Rule, of: dict[str, Column], precision: float,
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """row, s and kept of every document, by rules learned from the labelled ones."""
-    labelled = docs.join(labels.select("doc_id").filter("doc_id is not null").distinct(), "doc_id", "left_semi")
-    rules = learned(counted(labelled).select("row.doc_id", "s"), labels)
+    stats = materialized(counted(docs.select("doc_id", "text")).select("row.doc_id", "s"), "quality")
+    rules = learned(stats, labels)
     return counted(docs).withColumn("kept", verdict(rules, F.col("s")))
 
 
