@@ -230,9 +230,13 @@ def units(docs: DataFrame) -> DataFrame:
                 rank = np.empty(part.num_rows, np.int64)
                 rank[np.lexsort((rid, filled(ids)))] = np.arange(part.num_rows)
                 order = np.lexsort((own, rank[doc], two, one))
+                same = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
+                group = np.concatenate([[True], ~same])[: len(order)]
+                lead = order[np.maximum.accumulate(np.where(group, np.arange(len(order)), 0))]
+                sent = np.sort(order[group])
+                # rows that are given twice (repeated documents) are one: neither sent again nor later
                 later = np.zeros(len(one), bool)
-                later[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
-                sent = np.flatnonzero(~later)
+                later[order] = (rid[doc[order]] != rid[doc[lead]]) | (own[order] != own[lead])
                 yield table(one[sent], rid, ids, doc[sent], own[sent], [two[i : i + 1].tobytes() for i in sent], None)
                 doc, own = doc[later], own[later]
                 cut = np.flatnonzero(np.diff(doc, prepend=-1, append=-1)) if len(doc) else np.zeros(1, np.int64)

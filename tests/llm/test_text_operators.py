@@ -295,6 +295,22 @@ def test_repeated_windows_of_few_words(spark, monkeypatch):
         assert [got[k] for k in range(len(texts))] == [kept.decode() for _, kept in plain_removal(texts)]
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_repeated_windows_of_repeated_rows(spark, monkeypatch, parts):
+    """Rows given several times are one document, also where a batch holds all of them and their symbols are frequent."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("a b c d e f g".split()) for _ in range(rng.randint(0, 90))) for k in range(20)]
+    texts += [" ".join(t.split()[5:60]) for t in texts[:8]] + ["x y " * 40, " ".join(f"w{k}" for k in range(50))]
+    rows = [(k, t) for k, t in enumerate(texts) for _ in range(1 + k % 4)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).repartition(parts)
+    want = {k: kept.decode() for k, (_, kept) in enumerate(plain_removal(texts))}
+    for most in (recompression.FREQUENT, 2):
+        monkeypatch.setattr(recompression, "FREQUENT", most)
+        got = recompression.deduplicated(docs).collect()
+        assert sorted((r.doc_id, r.kept_text) for r in got) == sorted((k, want[k]) for k, _ in rows)
+
+
 def test_equal_windows_share_their_symbol():
     rng = np.random.default_rng(1)
     names = rng.integers(1, 12, 4000).astype(np.uint64)
