@@ -7,7 +7,8 @@ bucket, not from pairs. Components are cut into blocks; a task verifies one pair
 each document's number of links and a spanning forest of what it linked, so output is linear in the documents while
 every link between different texts is counted. The forests give the final classes.
 
-Texts of one to four words have one n-gram, the whole text. Texts without words (null, empty) link to nothing. Repeated
+Texts of one to four words have one n-gram, the whole text. Texts without words (null, empty, blank) link to nothing, but their
+sets are equal, so only one of them, that of the least doc_id, is the ``first`` of its class and stays. Repeated
 rows are copies of each other. class_id is the least doc_id of a class; a null doc_id is less than any number (and a class
 of such rows has a null id). An empty table gives no rows.
 """
@@ -233,16 +234,17 @@ def joined(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
     known = classes.drop("bands").join(labels, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
     least = known.groupBy("comp").agg(F.min(F.struct("doc_id", "rid")).alias("least"))
     known = known.join(least, "comp").join(counts, "rid", "left")
+    blank = signed.filter("n = 0").agg(F.min(F.struct("doc_id", "rid")).alias("least")).select("least.rid").first()[0]
     known = known.select("k1", "k2", "least", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
     return signed.join(known, ["k1", "k2"], "left").select(
         "doc_id", "rid",
         F.when(F.col("n") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.when(F.col("n") > 0, F.col("links")).otherwise(F.lit(0).cast("long")).alias("n_links"),
-        ((F.col("n") == 0) | (F.col("rid") == F.col("least.rid"))).alias("first"))
+        (F.col("rid") == F.when(F.col("n") > 0, F.col("least.rid")).otherwise(F.lit(blank).cast("long"))).alias("first"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without near copies: of each class of linked ones the one with the least doc_id stays."""
+    """The documents without near copies: of each class of linked ones, and of those without words, the one with the least doc_id stays."""
     flags = joined(docs).filter("first").select("rid").distinct()
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.xxhash64(F.lit(6), docs["doc_id"], text).alias("rid"))

@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: one operator a stage, each on all that the stage before kept.
 
 Quality rules drop documents, line dedup and masking rewrite texts (``n_chars`` follows), the n-gram join keeps one document of
-each group of near copies, and packing returns pieces with their sequences. Nulls, empty texts, repeated rows, empty
+each group of near copies, and one of those that line dedup left without words, and packing returns pieces with their sequences. Nulls, empty texts, repeated rows, empty
 tables and further columns are handled as each operator's docstring says; all columns of ``documents`` are kept up to packing.
 """
 

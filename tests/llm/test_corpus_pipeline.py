@@ -56,6 +56,18 @@ def test_near_duplicates(stages):
     assert texts(stages[3]) == {d: t for k, (d, t) in enumerate(before) if least[k] == k}
 
 
+def test_copies_over_many_sources_leave_one_document_without_words(spark):
+    text = "a line of four words here\nanother line of several words"
+    rows = [(g * 100 + k, f"{text} {g}\nlast line of group {g}" if g else text, f"s{k}") for g in range(3) for k in range(14)]
+    rows += [(1000, None, "s1"), (1001, " \n ", "s2"), (1002, "words of its own", "s3"), (1002, "words of its own", "s3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for stage in (corpus_pipeline.line_dedup, corpus_pipeline.near_duplicates):
+        docs = materialized(stage(spark, docs, SF), "stage")
+    kept = {r.doc_id: r.text for r in docs.collect()}
+    assert docs.count() == 5 and set(kept) == {0, 1, 100, 200, 1002}
+    assert kept[1] == "" and kept[0] == text and kept[1002] == "words of its own"
+
+
 def test_masking(stages):
     before, after = texts(stages[3]), texts(stages[4])
     assert set(before) == set(after)
