@@ -5,8 +5,8 @@ aggregation. A line whose estimate is clearly above ``sites`` is boilerplate, on
 threshold get exact distinct counts. The earliest occurrence of a boilerplate line (least doc_id, then first in its text)
 stays and all others go, so a passage that many sites copied is not lost.
 
-Null texts stay null and have no lines; a null site counts for nothing. Lines of fewer than ``words`` words are left alone,
-and so are blank ones. Rows with a null doc_id come first. Repeated rows are one document. All other columns are kept as
+Null texts stay null and have no lines; a null site counts for nothing. Blank lines are left alone, and so are lines of
+fewer than ``words`` words: none, unless the caller asks for it, as the query does, whose SQL has three words. Rows with a null doc_id come first. Repeated rows are one document. All other columns are kept as
 they are, whatever their names. An empty table gives no rows. Lines are known by 128-bit hashes.
 """
 
@@ -19,6 +19,7 @@ from barloom.llm.common import SPACE, documents
 from barloom.session import materialized
 
 SITES = 10
+#: Least words of a line in the query, as in its SQL.
 WORDS = 3
 #: 2^8 registers: a standard error of 6.5 per cent, so a quarter is about four of them.
 LG_K = 8
@@ -54,7 +55,7 @@ def boilerplate(rows: DataFrame, sites: int, words: int) -> tuple[DataFrame, Dat
     return lines, materialized(clear.union(exact.filter(F.col("n") >= sites).select("line", "first")), "boilerplate")
 
 
-def rewritten(docs: DataFrame, sites: int = SITES, words: int = WORDS) -> DataFrame:
+def rewritten(docs: DataFrame, sites: int = SITES, words: int = 1) -> DataFrame:
     """row (the columns as they were), lines (before), kept (after; null where the text is)."""
     rows = identified(docs)
     lines, found = boilerplate(rows, sites, words)
@@ -71,14 +72,14 @@ def rewritten(docs: DataFrame, sites: int = SITES, words: int = WORDS) -> DataFr
     return joined.select("row", "lines", F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.filter("lines", stays)).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, sites: int = SITES, words: int = WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, sites: int = SITES, words: int = 1) -> DataFrame:
     """The documents with the lines that stay."""
     text = F.array_join("kept", "\n").alias("text")
     return rewritten(docs, sites, words).select(*(text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = rewritten(documents(spark, sf_dir))
+    done = rewritten(documents(spark, sf_dir), words=WORDS)
     count = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
     return done.select(
         F.col("row.doc_id").alias("doc_id"), F.greatest(count, F.lit(0)).alias("n_lines"),

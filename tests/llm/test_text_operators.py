@@ -352,6 +352,13 @@ def test_lines_near_the_threshold_are_counted(spark):
         assert left == ([2] * n if n < 10 else [1] + [0] * (n - 1))
 
 
+def test_lines_of_one_word_are_examined(spark):
+    short = ["這是一行沒有空格的文字", "https://a.example/b", "Read more", "  ", ""]
+    rows = [(k, "\n".join([*short, f"own{k}"]), f"s{k}") for k in range(12)]
+    got = {r.doc_id: r.text.split("\n") for r in site_lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == {k: [*(short if k == 0 else short[3:]), f"own{k}"] for k in range(12)}
+
+
 # 9
 
 
