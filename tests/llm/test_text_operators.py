@@ -122,6 +122,22 @@ def test_messages_agree_with_enumeration():
     assert np.allclose(field.posteriors(words), p / p.sum(1, keepdims=True), atol=2e-3)
 
 
+def test_evidence_reaches_far_repeats():
+    """Neutral words in one line of links behind one base span, beside a document that is done at once."""
+    n, labels, phone = 50, skip_chain.LABELS, 3
+    field = skip_chain.Field(np.zeros((skip_chain.BITS + 1, labels)), np.stack([6 * np.eye(labels)] * 2))
+    label = np.full(n + 2, skip_chain.OTHER)
+    label[0] = phone
+    links = np.array([[i, i + 1] for i in range(n - 1)] + [[n, n + 1]])
+    doc = np.repeat([0, 1], [n, 2])
+    words = skip_chain.Words(doc, np.arange(n + 2), np.arange(n + 2), np.zeros(n + 2, int), label, np.zeros((0, 2), int), links)
+    fading = (math.exp(6) - 1) / (math.exp(6) + labels - 1)
+    want = 1 / labels + (1 - 1 / labels) * fading ** np.arange(n)
+    got = field.posteriors(words)
+    assert np.allclose(got[:n, phone], want, atol=0.01) and (got[:n, phone] > skip_chain.SURE).all()
+    assert np.allclose(got[n:], 1 / labels)
+
+
 # 2
 
 
