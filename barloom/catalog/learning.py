@@ -64,18 +64,18 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gbt_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = prepared(spark, sf_dir)
-    model = models.fit(train, SPEC, "boosting", {"maxIter": 5})
+    model = models.fit(train, SPEC, "boosting", models.BOOSTING)
     return finish(models.fallback_quantiles(model.predict(test)))
 
 
 def bootstrap_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = prepared(spark, sf_dir)
-    resampled = models.bootstrap(train, SPEC, 5, "ridge")
+    resampled = models.bootstrap(train, SPEC, kind="ridge")
     return finish(probability.member_quantiles(models.bootstrap_members(resampled, test)))
 
 
 def sampled_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(probability.sampled_distribution(ensemble(spark, sf_dir), 10))
+    return finish(probability.sampled_distribution(ensemble(spark, sf_dir)))
 
 
 def rolling_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +181,7 @@ QUERIES: dict[str, Query] = {
     "walk_forward_fitted": walk_forward_fitted,
     "roundtrip_check": roundtrip_check,
     "rf_forecast": partial(forecast, kind="random_forest", params=models.QUICK_FOREST),
-    "gbt_forecast": partial(forecast, kind="boosting", params={"maxIter": 5}),
+    "gbt_forecast": partial(forecast, kind="boosting", params=models.BOOSTING),
     "linear_forecast": partial(forecast, kind="linear", params={}),
     "ridge_forecast": partial(forecast, kind="ridge", params={}),
     "rf_metrics": rf_metrics,

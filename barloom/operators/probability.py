@@ -19,6 +19,7 @@ from barloom.operators.metrics import present
 # Default levels.
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 INTERVALS = (0.68, 0.95)
+DRAWS = 1000
 LIVE_PERCENTS = (0.5, 1.0, 2.0, 5.0)
 LIVE_DELTAS = (500, 1000, 2000)
 
@@ -212,7 +213,7 @@ def pinball_loss(quantiles: DataFrame, by: Sequence[str] = ("q", "horizon")) ->
     return quantiles.where(present(F.col("actual"))).groupBy(*by).agg(F.avg(loss).alias("loss"), F.count(F.lit(1)).alias("n_samples"))
 
 
-def sampled_distribution(forecasts: DataFrame, samples: int, seed: int = 42) -> DataFrame:
+def sampled_distribution(forecasts: DataFrame, samples: int = DRAWS, seed: int = 42) -> DataFrame:
     """``samples`` draws per forecast from its percentile grid: long ``(series, ts, horizon, sample, value)``.
 
     The event probabilities above are the exact expectation of counting such draws.

@@ -29,6 +29,7 @@ FOREST = {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "seed": 42}
 SMALL_FOREST = {"numTrees": 100, "maxDepth": 10, "seed": 42}
 QUICK_FOREST = {"numTrees": 10, "maxDepth": 5, "seed": 42}
 BOOSTING = {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5, "seed": 42}
+RESAMPLES = 100
 RIDGE_ALPHA = 1.0
 BOOSTING_SPREAD = 0.02
 
@@ -161,7 +162,7 @@ def fallback_quantiles(predictions: DataFrame, quantiles: Sequence[float] = QUAN
 
 
 def bootstrap(
-    train: DataFrame, spec: FeatureSpec, resamples: int, kind: str = "random_forest", params: dict | None = None
+    train: DataFrame, spec: FeatureSpec, resamples: int = RESAMPLES, kind: str = "random_forest", params: dict | None = None
 ) -> list[Forecaster]:
     """Forecasters fitted on resamples with replacement; scaling is learned once on all rows."""
     vectors = vectorizer(train, spec.features)

@@ -4,6 +4,7 @@ import pytest
 from conftest import collected, walk
 from pyspark.sql import functions as F
 
+from barloom.catalog import learning
 from barloom.operators import probability
 from barloom.operators.layout import Layout
 from barloom.plans import features, models
@@ -91,6 +92,39 @@ def test_bootstrap_members(parts):
     assert [r.n for r in rows] == [3]
 
 
+class Fitted(Exception):
+    pass
+
+
+def test_learning_queries_run_at_full_size(spark, monkeypatch):
+    asked = []
+
+    def fit(train, spec, kind, params=None, vectors=None):
+        asked.append((kind, {**models.BOOSTING, **(params or {})}["maxIter"]))
+        raise Fitted
+
+    def members(resampled, test):
+        asked.append(len(resampled))
+        raise Fitted
+
+    monkeypatch.setattr(learning, "prepared", lambda spark, sf_dir: (spark.range(3), spark.range(3)))
+    monkeypatch.setattr(models, "vectorizer", lambda train, names: None)
+    with monkeypatch.context() as m:
+        m.setattr(models, "fit", fit)
+        for name in ("gbt_forecast", "gbt_quantiles"):
+            with pytest.raises(Fitted):
+                learning.QUERIES[name](spark, "")
+    monkeypatch.setattr(models, "fit", lambda *a, **b: None)
+    monkeypatch.setattr(models, "bootstrap_members", members)
+    with pytest.raises(Fitted):
+        learning.QUERIES["bootstrap_quantiles"](spark, "")
+    assert asked == [("boosting", 200), ("boosting", 200), 100]
+    one = spark.createDataFrame([("a", 1, 5, [1.0, 2.0])], "series string, ts int, horizon int, members array<double>")
+    monkeypatch.setattr(learning, "ensemble", lambda spark, sf_dir: one)
+    monkeypatch.setattr(learning, "finish", lambda df: df)
+    assert learning.sampled_distribution(spark, "").count() == 1000
+
+
 def test_validation_loops(spark, table):
     hourly = walk(24 * 14, 4, freq="h")
     rows = features.clean_rows(features.simple_features(spark.createDataFrame(hourly), LAYOUT), features.simple_spec())
