@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from barloom.llm import decision_list, jaccard_join, kd_shards, kneser_ney, packing, pieces, recompression, site_lines, skip_chain, winnowing
+from barloom.llm import (
+    decision_list, jaccard_join, kd_shards, kneser_ney, merkle_manifest, packing, periodic_runs, pieces, recompression, site_lines,
+    skip_chain, winnowing,
+)
 
 QUERIES = {
     "op1_skip_chain": skip_chain.query,
@@ -15,6 +18,8 @@ QUERIES = {
     "op8_site_lines": site_lines.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_kneser_ney": kneser_ney.query,
+    "op12_periodic_runs": periodic_runs.query,
+    "op13_merkle_manifest": merkle_manifest.query,
 }
 
-ORACLES = {"op8_site_lines": site_lines.ORACLE}
+ORACLES = {"op8_site_lines": site_lines.ORACLE, "op13_merkle_manifest": merkle_manifest.ORACLE}
