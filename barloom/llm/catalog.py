@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from barloom.llm import (
-    decision_list, jaccard_join, kd_shards, kneser_ney, merkle_manifest, packing, periodic_runs, pieces, recompression, site_lines,
-    skip_chain, winnowing,
+    decision_list, jaccard_join, kd_shards, kneser_ney, merkle_manifest, packing, periodic_runs, pieces, recompression, secret_chain,
+    site_lines, skip_chain, winnowing,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_site_lines": site_lines.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_kneser_ney": kneser_ney.query,
+    "op11_secret_chain": secret_chain.query,
     "op12_periodic_runs": periodic_runs.query,
     "op13_merkle_manifest": merkle_manifest.query,
 }
