@@ -155,7 +155,8 @@ def blocks_of(nodes: DataFrame, rest: Sequence[str] = ()) -> DataFrame:
             rows = batch.column(2)
             for k in range(batch.num_rows):  # a block at a time: the nodes of a whole batch are not held
                 leaves = rows.slice(k, 1).flatten().field("node").to_pylist()
-                height = height_of(len(leaves))
+                # at the edge of a tree of several blocks single nodes are hashed up to the height of the others
+                height = HEIGHT if batch.column(1)[k].as_py() else height_of(len(leaves))
                 store = built(leaves, height)
                 added = [pa.array([height], pa.int32()), pa.array([store], pa.binary()), pa.array([store[:DIGEST]], pa.binary())]
                 yield pa.RecordBatch.from_arrays([*batch.slice(k, 1).columns, *added], schema.fieldNames())
