@@ -97,6 +97,14 @@ def probabilities_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(wide.toDF("series", "ts", "horizon", "up_half", "down_half", "up_one", "down_one", "flat"), 9)
 
 
+def sampled_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finish(probability.sampled_distribution(ensemble(spark, sf_dir)), 5)
+
+
+def sampled_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finish(probability.sampled_probabilities(ensemble(spark, sf_dir)))
+
+
 def probability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(probability.probability_summary(scored(spark, sf_dir)))
 
@@ -162,6 +170,8 @@ QUERIES: dict[str, Query] = {
     "event_probabilities": event_probabilities,
     "probabilities_long": probabilities_long,
     "probabilities_wide": probabilities_wide,
+    "sampled_distribution": sampled_distribution,
+    "sampled_probabilities": sampled_probabilities,
     "probability_summary": probability_summary,
     "brier_logloss": brier_logloss,
     "ece": ece,

@@ -7,16 +7,16 @@ for any fit: row keys and counts, order and mean of members, normal equations, e
 from __future__ import annotations
 
 from functools import partial
+from itertools import pairwise
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.catalog import Query
 from barloom.catalog.evaluation import clean
-from barloom.catalog.forecasts import ensemble
 from barloom.catalog.tables import HOURLY, bars_1h, finish
 from barloom.operators import calibration, probability, splits
-from barloom.plans import features, models
+from barloom.plans import boosting, features, models
 from barloom.session import materialized, scratch_path
 
 HORIZONS = (1, 5, 20)
@@ -64,20 +64,54 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gbt_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = prepared(spark, sf_dir)
-    model = models.fit(train, SPEC, "boosting", models.BOOSTING)
+    model = models.fit(train, SPEC, "boosting")
     return finish(models.fallback_quantiles(model.predict(test)))
 
 
+def boosting_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per horizon: trees, the most leaves and fewest rows of a leaf, rounds in which the training loss rose, and rows of the test
+    part whose forecast isn't what SQL makes of the dumped nodes."""
+    train, test = prepared(spark, sf_dir)
+    model = models.fit(train, SPEC, "boosting")
+    nodes = materialized(model.nodes(spark), "nodes")
+    per_tree = nodes.groupBy("horizon", "tree").agg(F.count_if(F.col("feature").isNull()).alias("leaves"), F.min("rows").alias("fewest"))
+    shape = per_tree.groupBy("horizon").agg(
+        F.count(F.lit(1)).alias("trees"), F.max("leaves").alias("most_leaves"), (F.min("fewest") >= boosting.Params().leaf_rows).alias("leaves_filled")
+    )
+    losses = spark.createDataFrame([(h, sum(b > a * (1 + 1e-12) for a, b in pairwise(loss))) for h, loss in zip(model.horizons, model.losses, strict=True)], "horizon int, rises int")
+    told = model.predict(test, list(SPEC.features)).withColumn("_x", F.array(*SPEC.features))
+    again = boosted_by_sql(told, nodes, dict(zip(model.horizons, model.start, strict=True)))
+    off = F.abs(F.col("prediction") - F.col("again")) > 1e-6 * F.abs(F.col("prediction"))
+    checked = again.groupBy("horizon").agg(F.count(F.lit(1)).alias("rows"), F.count_if(off).alias("off"))
+    return finish(shape.join(losses, "horizon").join(checked, "horizon"))
+
+
+def boosted_by_sql(rows: DataFrame, nodes: DataFrame, start: dict[int, float]) -> DataFrame:
+    """``again``: forecasts of rows with features ``_x`` by walking the nodes, given as one array for each horizon."""
+    place = F.create_map(*[F.lit(x) for pair in ((f, k) for k, f in enumerate(SPEC.features)) for x in pair])
+    node = F.struct("node", F.coalesce(place[F.col("feature")], F.lit(-1)).alias("f"), "threshold", "left", "right", "value")
+    trees = nodes.groupBy("horizon", "tree").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+    forests = trees.groupBy("horizon").agg(F.collect_list("nodes").alias("trees"))
+
+    def walked(tree: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            n = F.get(tree, at)
+            return F.when(n["f"] < 0, at).when(F.get(F.col("_x"), n["f"]) <= n["threshold"], n["left"]).otherwise(n["right"])
+
+        last = F.aggregate(F.sequence(F.lit(1), F.lit(boosting.Params().depth)), F.lit(0), step)
+        return F.get(tree, last)["value"]
+
+    base = F.create_map(*[F.lit(x) for pair in start.items() for x in pair])[F.col("horizon")]
+    joined = rows.join(F.broadcast(forests), "horizon")  # one row a horizon, of bounded size
+    return joined.withColumn("again", F.aggregate("trees", base, lambda s, t: s + walked(t)))
+
+
 def bootstrap_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = prepared(spark, sf_dir)
     resampled = models.bootstrap(train, SPEC, kind="ridge")
     return finish(probability.member_quantiles(models.bootstrap_members(resampled, test)))
 
 
-def sampled_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(probability.sampled_distribution(ensemble(spark, sf_dir)))
-
-
 def rolling_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = clean(spark, sf_dir)
     fit_one = partial(models.fit, spec=SPEC, kind="ridge")
@@ -175,13 +209,14 @@ QUERIES: dict[str, Query] = {
     "rf_member_check": partial(forest_check, params=models.QUICK_FOREST),
     "rf_member_check_small": partial(forest_check, params=models.SMALL_FOREST),
     "rf_member_check_full": partial(forest_check, params=models.FOREST),
+    "boosting_check": boosting_check,
     "importance_check": importance_check,
     "normal_equations": normal_equations,
     "rolling_windows_fitted": rolling_windows_fitted,
     "walk_forward_fitted": walk_forward_fitted,
     "roundtrip_check": roundtrip_check,
     "rf_forecast": partial(forecast, kind="random_forest", params=models.QUICK_FOREST),
-    "gbt_forecast": partial(forecast, kind="boosting", params=models.BOOSTING),
+    "gbt_forecast": partial(forecast, kind="boosting", params={}),
     "linear_forecast": partial(forecast, kind="linear", params={}),
     "ridge_forecast": partial(forecast, kind="ridge", params={}),
     "rf_metrics": rf_metrics,
@@ -191,7 +226,6 @@ QUERIES: dict[str, Query] = {
     "feature_importance": feature_importance,
     "gbt_quantiles": gbt_quantiles,
     "bootstrap_quantiles": bootstrap_quantiles,
-    "sampled_distribution": sampled_distribution,
     "rolling_validation": rolling_validation,
     "walk_forward": walk_forward,
     "model_roundtrip": model_roundtrip,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions import labels
-from barloom.functions.arrays import GRID_POINTS, ensemble_cdf, interpolate, quantile_grid, sorted_quantile
+from barloom.functions.arrays import GRID_POINTS, ensemble_cdf, let, quantile_grid, sorted_quantile
 from barloom.operators.layout import Layout, attach, over_chunks
 from barloom.operators.metrics import present
 
@@ -20,6 +20,9 @@ from barloom.operators.metrics import present
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 INTERVALS = (0.68, 0.95)
 DRAWS = 1000
+#: Draws are numbers below this prime; the steps set draws of one key apart.
+PRIME = 2**31 - 1
+STEPS = (1_000_003, 7_919)
 LIVE_PERCENTS = (0.5, 1.0, 2.0, 5.0)
 LIVE_DELTAS = (500, 1000, 2000)
 
@@ -213,17 +216,81 @@ def pinball_loss(quantiles: DataFrame, by: Sequence[str] = ("q", "horizon")) ->
     return quantiles.where(present(F.col("actual"))).groupBy(*by).agg(F.avg(loss).alias("loss"), F.count(F.lit(1)).alias("n_samples"))
 
 
-def sampled_distribution(forecasts: DataFrame, samples: int = DRAWS, seed: int = 42) -> DataFrame:
-    """``samples`` draws per forecast from its percentile grid: long ``(series, ts, horizon, sample, value)``.
+def uniform_draws(key: Column, draws: int) -> Column:
+    """``draws`` numbers below ``PRIME`` for a whole-number key, each a function of the key and the draw's number alone.
 
-    The event probabilities above are the exact expectation of counting such draws.
+    Fifth powers permute the numbers below this prime, and products of two of them fit a BIGINT.
     """
-    levels = F.transform(F.sequence(F.lit(1), F.lit(GRID_POINTS)), lambda k: k / F.lit(100.0))
-    drawn = forecasts.select(
-        "series",
-        "ts",
-        "horizon",
-        quantile_grid(F.col("members")).alias("_grid"),
-        F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("sample"),
-    ).withColumn("_u", F.rand(seed))
-    return drawn.select("series", "ts", "horizon", "sample", interpolate(F.col("_u"), levels, F.col("_grid")).alias("value"))
+    p = F.lit(PRIME)
+
+    def fifth(x: Column) -> Column:
+        return (x * x % p) * (x * x % p) % p * x % p
+
+    def numbered(k: Column) -> Column:
+        first = F.transform(F.sequence(F.lit(1), F.lit(draws)), lambda d: (k + d.cast("bigint") * F.lit(STEPS[0])) % p)
+        second = F.transform(F.transform(first, fifth), lambda x, i: (x + (i.cast("bigint") + 1) * F.lit(STEPS[1])) % p)
+        return F.transform(second, fifth)
+
+    return let(key, numbered)
+
+
+def draw_key(seed: int, *parts: Column) -> Column:
+    """A whole number below ``PRIME`` from the hash of a row's key."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[x.cast("string") for x in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % F.lit(PRIME)
+
+
+def sampled_values(forecasts: DataFrame, draws: int, seed: int) -> Column:
+    """Draws from the percentile grid of each row's members, as an array that lives within the row."""
+    key = draw_key(seed, forecasts["series"], F.unix_seconds(forecasts["ts"]), forecasts["horizon"])
+
+    def values(grid: Column) -> Column:
+        def value(x: Column) -> Column:
+            spot = (x + 0.5) * 100 / F.lit(float(PRIME))
+            k = F.floor(spot).cast("int")
+            low = F.get(grid, k - 1)
+            inner = low + (F.get(grid, k) - low) * (spot - k)
+            return F.when(k < 1, F.get(grid, F.lit(0))).when(k >= GRID_POINTS, F.get(grid, F.lit(GRID_POINTS - 1))).otherwise(inner)
+
+        return F.transform(uniform_draws(key, draws), value)
+
+    return let(quantile_grid(forecasts["members"]), values)
+
+
+def sampled_distribution(forecasts: DataFrame, draws: int = DRAWS, seed: int = 42) -> DataFrame:
+    """Mean, deviation and range of ``draws`` values drawn per forecast.
+
+    Draws are repeatable: they depend on the row's key, the seed and their number, not on partitions. They are folded within
+    their row, so nothing but the forecasts themselves ever moves.
+    """
+    def told(values: Column) -> Column:
+        n = F.lit(float(draws))
+        mean = F.aggregate(values, F.lit(0.0), lambda s, v: s + v) / n
+
+        def around(m: Column) -> Column:
+            spread = F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, v: s + (v - m) * (v - m)) / n)
+            return F.struct(m.alias("mean"), spread.alias("deviation"), F.array_min(values).alias("low"), F.array_max(values).alias("high"))
+
+        return let(mean, around)
+
+    drawn = forecasts.select("series", "ts", "horizon", let(sampled_values(forecasts, draws, seed), told).alias("_told"))
+    return drawn.select("series", "ts", "horizon", F.lit(draws).alias("draws"), "_told.*")
+
+
+def sampled_probabilities(
+    forecasts: DataFrame, percents: Sequence[float] = (0.5, 1.0), band: float = 0.2, draws: int = DRAWS, seed: int = 42
+) -> DataFrame:
+    """Share of the draws that meet thresholds relative to each row's own close; ``event_probability`` is its expectation."""
+    def shares(values: Column) -> Column:
+        def met(rule: Column) -> Column:
+            low, high = rule["low"], rule["high"]
+            hits = (
+                F.when(rule["op"] == "between", F.size(F.filter(values, lambda v: (v >= low) & (v < high))))
+                .when(rule["op"] == "above", F.size(F.filter(values, lambda v: v >= low)))
+                .otherwise(F.size(F.filter(values, lambda v: v < low)))
+            )
+            return F.struct(rule["query"].alias("query"), (hits / F.lit(float(draws))).alias("probability"))
+
+        return F.transform(relative_rules(percents, band), met)
+
+    return forecasts.select("series", "ts", "horizon", F.inline(let(sampled_values(forecasts, draws, seed), shares)))

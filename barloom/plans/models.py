@@ -12,13 +12,14 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import metrics, scaling, splits
 from barloom.operators.layout import Layout, attach, positions
 from barloom.operators.probability import QUANTILES
+from barloom.plans import boosting
 from barloom.plans.features import FeatureSpec, clean_rows, reconcile, simple_features
 from barloom.session import materialized
 
@@ -28,7 +29,6 @@ PARALLEL_FITS = 4
 FOREST = {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "seed": 42}
 SMALL_FOREST = {"numTrees": 100, "maxDepth": 10, "seed": 42}
 QUICK_FOREST = {"numTrees": 10, "maxDepth": 5, "seed": 42}
-BOOSTING = {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5, "seed": 42}
 RESAMPLES = 100
 RIDGE_ALPHA = 1.0
 BOOSTING_SPREAD = 0.02
@@ -42,8 +42,6 @@ def estimator(kind: str, rows: int, label_std: float, params: dict | None = None
     """
     if kind == "random_forest":
         return RandomForestRegressor(featureSubsetStrategy="all", **{**FOREST, **(params or {})})
-    if kind == "boosting":
-        return GBTRegressor(**{**BOOSTING, **(params or {})})
     if kind == "linear":
         return LinearRegression(standardization=False, **(params or {}))
     if kind == "ridge":
@@ -65,6 +63,10 @@ class Forecaster:
     def regressors(self) -> dict[int, Model]:
         return dict(zip(self.horizons, self.pipeline.stages[2:], strict=True))
 
+    def wide(self, table: DataFrame) -> DataFrame:
+        """``table`` with a column ``prediction_<h>`` for each horizon."""
+        return self.pipeline.transform(table)
+
     def _vectors(self, table: DataFrame) -> DataFrame:
         reconcile(table, self.features)
         return PipelineModel(self.pipeline.stages[:2]).transform(table)
@@ -127,8 +129,10 @@ def fit(
     kind: str = "random_forest",
     params: dict | None = None,
     vectors: PipelineModel | None = None,
-) -> Forecaster:
-    """One regressor per horizon over the same vectors, fitted side by side."""
+) -> Forecaster | boosting.Boosted:
+    """One regressor per horizon over the same vectors, fitted side by side; boosting needs no scaling and has a class of its own."""
+    if kind == "boosting":
+        return boosting.fit(train, spec.features, spec.horizons, boosting.Params(**(params or {})))
     vectors = vectors or vectorizer(train, spec.features)
     ready = vectors.transform(train).select("vector", *spec.targets).persist()
     stats = ready.agg(F.count(F.lit(1)).alias("rows"), *[F.stddev_pop(t).alias(t) for t in spec.targets]).first()
@@ -192,7 +196,7 @@ def evaluate(model: Forecaster, table: DataFrame, by: Sequence[str] = ("horizon"
     targets = [
         F.struct(F.lit(h).alias("horizon"), F.col(f"target_{h}").alias("actual")) for h in model.horizons
     ]
-    wide = model.pipeline.transform(table)
+    wide = model.wide(table)
     pairs = F.arrays_zip(
         F.array(*targets).alias("t"), F.array(*[F.col(f"prediction_{h}") for h in model.horizons]).alias("p")
     )
@@ -283,15 +287,20 @@ def _stacked(parts: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def save(model: Forecaster, spark: SparkSession, path: str) -> None:
-    """Pipeline and its description side by side; the kind is stored, not read off the path."""
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+def save(model: Forecaster | boosting.Boosted, spark: SparkSession, path: str) -> None:
+    """Pipeline (or trees) and its description side by side; the kind is stored, not read off the path."""
+    if isinstance(model, boosting.Boosted):
+        spark.createDataFrame([(model.dumped(),)], "trees string").write.mode("overwrite").text(f"{path}/trees")
+    else:
+        model.pipeline.write().overwrite().save(f"{path}/pipeline")
     about = json.dumps({"kind": model.kind, "features": model.features, "horizons": model.horizons})
     spark.createDataFrame([(about,)], "about string").write.mode("overwrite").text(f"{path}/about")
 
 
-def load(spark: SparkSession, path: str) -> Forecaster:
+def load(spark: SparkSession, path: str) -> Forecaster | boosting.Boosted:
     about = json.loads(spark.read.text(f"{path}/about").first()[0])
+    if about["kind"] == "boosting":
+        return boosting.Boosted.loaded(spark.read.text(f"{path}/trees").first()[0])
     pipeline = PipelineModel.load(f"{path}/pipeline")
     return Forecaster(about["kind"], tuple(about["features"]), tuple(about["horizons"]), pipeline)
 

@@ -98,6 +98,15 @@ WITH_LIVE = f"""WITH {ENSEMBLE}, {GRID}, {PRICES}, rules AS ({live_rules("price"
 ASKED_LIVE = f"""asked AS (SELECT g.*, query, op, low, high FROM gridded g JOIN rules USING (series))"""
 LAST = "last AS (SELECT series, max(ts) AS ts FROM ens GROUP BY series)"
 
+FIFTH = "lambda x: (x * x % 2147483647) * (x * x % 2147483647) % 2147483647 * x % 2147483647"
+DRAWN = f"""WITH {ENSEMBLE}, {GRID}, keyed AS (SELECT *, CAST('0x' || substr(md5('42|' || series || '|' ||
+  CAST(epoch(ts) AS BIGINT) || '|' || horizon), 1, 8) AS BIGINT) % 2147483647 AS key FROM gridded),
+fifths AS (SELECT * EXCLUDE (key), list_transform(list_transform(range(1, 1001), lambda d: (key + d * 1000003) % 2147483647), {FIFTH}) AS a FROM keyed),
+mixed AS (SELECT * EXCLUDE (a), list_transform(list_transform(a, lambda x, i: (x + i * 7919) % 2147483647), {FIFTH}) AS a FROM fifths),
+spots AS (SELECT * EXCLUDE (a), list_transform(a, lambda x: (x + 0.5::DOUBLE) * 100 / 2147483647.0::DOUBLE) AS s FROM mixed),
+drawn AS (SELECT * EXCLUDE (s), list_transform(s, lambda u: CASE WHEN u < 1 THEN g[1] WHEN u >= 99 THEN g[99]
+  ELSE g[CAST(floor(u) AS INTEGER)] + (g[CAST(floor(u) AS INTEGER) + 1] - g[CAST(floor(u) AS INTEGER)]) * (u - floor(u)) END) AS v FROM spots)"""
+
 LOSS = """-avg(event * ln(greatest(least(probability, 1 - 1e-15), 1e-15))
   + (1 - event) * ln(1 - greatest(least(probability, 1 - 1e-15), 1e-15)))"""
 BINS = f"""WITH {SCORED}, bins AS (SELECT k / 20.0::DOUBLE AS lo, (k + 1) / 20.0::DOUBLE AS hi FROM (SELECT unnest(range(20)) AS k)),
@@ -181,6 +190,24 @@ FROM scored GROUP BY series, ts, horizon""",
         "horizon",
         digits=9,
     ),
+    "sampled_distribution": shaped(
+        f"""{DRAWN} SELECT series, ts, horizon, 1000 AS draws, list_avg(v) AS mean, list_stddev_pop(v) AS deviation,
+  list_min(v) AS low, list_max(v) AS high FROM drawn""",
+        "mean deviation low high",
+        "horizon draws",
+        digits=5,
+    ),
+    "sampled_probabilities": shaped(
+        f"{DRAWN} "
+        + " UNION ALL ".join(
+            f"""SELECT series, ts, horizon, '{q}' AS query, len(list_filter(v, lambda x: {
+                f'x >= {low} AND x < {high}' if op == 'between' else f'x >= {low}' if op == 'above' else f'x < {low}'
+            })) / 1000.0::DOUBLE AS probability FROM drawn"""
+            for q, op, low, high in RELATIVE_RULES
+        ),
+        "probability",
+        "horizon",
+    ),
     "probability_summary": shaped(
         f"""WITH {SCORED} SELECT query, horizon, avg(probability) AS mean_probability,
   stddev_pop(probability) AS std_probability, min(probability) AS min_probability, max(probability) AS max_probability

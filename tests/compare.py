@@ -75,7 +75,7 @@ def main(names: list[str], sf: str) -> int:
     queries, oracles = entry.queries(), entry.oracle_sql()
     sf_dir = f"{DATA}/{sf}"
     spark, con = session(), connect(sf_dir)
-    bad = 0
+    bad, got = 0, ()
     for name in names or list(queries):
         t = time.time()
         try:

@@ -1,13 +1,11 @@
 import numpy as np
-import pandas as pd
 import pytest
 from conftest import collected, walk
 from pyspark.sql import functions as F
 
-from barloom.catalog import learning
 from barloom.operators import probability
 from barloom.operators.layout import Layout
-from barloom.plans import features, models
+from barloom.plans import boosting, features, models
 
 LAYOUT = Layout(60, 4096)
 SPEC = features.FeatureSpec(features.simple_spec().features, (1, 5))
@@ -92,39 +90,6 @@ def test_bootstrap_members(parts):
     assert [r.n for r in rows] == [3]
 
 
-class Fitted(Exception):
-    pass
-
-
-def test_learning_queries_run_at_full_size(spark, monkeypatch):
-    asked = []
-
-    def fit(train, spec, kind, params=None, vectors=None):
-        asked.append((kind, {**models.BOOSTING, **(params or {})}["maxIter"]))
-        raise Fitted
-
-    def members(resampled, test):
-        asked.append(len(resampled))
-        raise Fitted
-
-    monkeypatch.setattr(learning, "prepared", lambda spark, sf_dir: (spark.range(3), spark.range(3)))
-    monkeypatch.setattr(models, "vectorizer", lambda train, names: None)
-    with monkeypatch.context() as m:
-        m.setattr(models, "fit", fit)
-        for name in ("gbt_forecast", "gbt_quantiles"):
-            with pytest.raises(Fitted):
-                learning.QUERIES[name](spark, "")
-    monkeypatch.setattr(models, "fit", lambda *a, **b: None)
-    monkeypatch.setattr(models, "bootstrap_members", members)
-    with pytest.raises(Fitted):
-        learning.QUERIES["bootstrap_quantiles"](spark, "")
-    assert asked == [("boosting", 200), ("boosting", 200), 100]
-    one = spark.createDataFrame([("a", 1, 5, [1.0, 2.0])], "series string, ts int, horizon int, members array<double>")
-    monkeypatch.setattr(learning, "ensemble", lambda spark, sf_dir: one)
-    monkeypatch.setattr(learning, "finish", lambda df: df)
-    assert learning.sampled_distribution(spark, "").count() == 1000
-
-
 def test_validation_loops(spark, table):
     hourly = walk(24 * 14, 4, freq="h")
     rows = features.clean_rows(features.simple_features(spark.createDataFrame(hourly), LAYOUT), features.simple_spec())
@@ -144,6 +109,73 @@ def test_missing_feature_is_named(forest, parts):
         forest.predict(parts[1].drop("close_lag_1"))
 
 
-def test_boosting_runs(parts):
-    model = models.fit(parts[0], SPEC, "boosting", {"maxIter": 2})
-    assert pd.notna(model.predict(parts[1]).agg(F.avg("prediction")).first()[0])
+@pytest.fixture(scope="module")
+def boosted(parts):
+    return models.fit(parts[0], SPEC, "boosting", {"rounds": 12})
+
+
+def plain_tree(bins, residual, params):
+    """Best-first growth with whole counts for every leaf: nodes as (rows, value)."""
+    def gain_of(rows):
+        best = None
+        for f in range(bins.shape[1]):
+            for b in range(bins[:, f].max() + 1):
+                left = rows & (bins[:, f] <= b)
+                right = rows & ~left
+                if min(left.sum(), right.sum()) >= params.leaf_rows:
+                    gain = residual[left].sum() ** 2 / left.sum() + residual[right].sum() ** 2 / right.sum() - residual[rows].sum() ** 2 / rows.sum()
+                    if best is None or gain > best[0] + 1e-9:
+                        best = (gain, left, right)
+        return best
+
+    leaves = [(np.ones(len(residual), bool), gain_of(np.ones(len(residual), bool)))]
+    while len(leaves) < params.leaves:
+        found = [(g[0], k) for k, (_, g) in enumerate(leaves) if g and g[0] > 1e-9]
+        if not found:
+            break
+        k = max(found, key=lambda x: (x[0], -x[1]))[1]
+        _, (_, left, right) = leaves.pop(k)
+        leaves += [(side, gain_of(side)) for side in (left, right)]
+    out = np.zeros(len(residual))
+    for rows, _ in leaves:
+        out[rows] = params.rate * residual[rows].mean()
+    return out
+
+
+def test_trees_grow_best_first():
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, 12, (300, 4)).astype(np.uint8)
+    target = (bins[:, 0] > 5) * 3.0 + bins[:, 1] * 0.2 + rng.normal(size=300) * 0.3
+    params = boosting.Params(rounds=3, leaves=9, leaf_rows=8)
+    trees, losses = boosting.boosted_in_block(bins, target, np.zeros(300), [np.arange(11.0)] * 4, params)
+    residual = target.copy()
+    for tree in trees:
+        assert tree.leaves == 9 and np.allclose(tree.scores(bins), plain_tree(bins, residual, params))
+        residual -= tree.scores(bins)
+    assert losses == sorted(losses, reverse=True)
+
+
+def test_boosting_in_passes_is_that_in_one_block(parts, boosted, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(boosting, "FAN_IN", 2)
+    monkeypatch.setattr(boosting, "STORED_ROUNDS", 2)
+    passes = models.fit(parts[0], SPEC, "boosting", {"rounds": 3})
+    assert np.allclose(np.array(passes.losses), np.array(boosted.losses)[:, :4])
+    assert [[t.feature for t in trees] for trees in passes.trees] == [[t.feature for t in trees[:3]] for trees in boosted.trees]
+
+
+def test_boosting(spark, boosted, parts, tmp_path):
+    assert all(t.leaves <= 31 and min(n for n, f in zip(t.rows, t.feature, strict=True) if f < 0) >= 20 for trees in boosted.trees for t in trees)
+    models.save(boosted, spark, str(tmp_path / "b"))
+    again, keys = models.load(spark, str(tmp_path / "b")), ["series", "ts", "horizon"]
+    assert collected(boosted.predict(parts[1]), keys).prediction.equals(collected(again.predict(parts[1]), keys).prediction)
+    rmse = models.evaluate(boosted, parts[0]).toPandas().set_index("horizon").rmse.sort_index()
+    assert np.allclose(rmse**2, [loss[-1] for loss in boosted.losses])
+    shares = boosted.importances(spark).groupBy("horizon").agg(F.sum("importance").alias("s")).collect()
+    assert all(abs(r.s - 1) < 1e-9 for r in shares)
+
+
+def test_boosting_of_few_and_no_rows(spark, parts):
+    one = models.fit(parts[0].limit(30), SPEC, "boosting", {"rounds": 2})
+    assert all(t.leaves == 1 for trees in one.trees for t in trees)
+    assert models.fit(parts[0].limit(0), SPEC, "boosting", {"rounds": 2}).trees == ((), ())
