@@ -29,9 +29,9 @@ def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows.where("part = 'train'").drop("part"), rows.where("part = 'test'").drop("part")
 
 
-def forecast(spark: SparkSession, sf_dir: str, kind: str, params: dict) -> DataFrame:
+def forecast(spark: SparkSession, sf_dir: str, kind: str, params: dict, digits: int = 6) -> DataFrame:
     train, test = prepared(spark, sf_dir)
-    return finish(models.fit(train, SPEC, kind, params).predict(test, ["close"]))
+    return finish(models.fit(train, SPEC, kind, params).predict(test, ["close"]), digits)
 
 
 def forest(train: DataFrame) -> models.Forecaster:
@@ -108,19 +108,15 @@ def boosted_by_sql(rows: DataFrame, nodes: DataFrame, start: dict[int, float]) -
 
 def bootstrap_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = prepared(spark, sf_dir)
-    resampled = models.bootstrap(train, SPEC, kind="ridge")
-    return finish(probability.member_quantiles(models.bootstrap_members(resampled, test)))
+    return finish(probability.member_quantiles(models.ridge_bootstrap(train, SPEC).members(test)), 4)
 
 
 def rolling_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = clean(spark, sf_dir)
-    fit_one = partial(models.fit, spec=SPEC, kind="ridge")
-    return finish(models.rolling_validation(table, fit_one, min_train_rows=150))
+    return finish(models.rolling_scores(clean(spark, sf_dir), SPEC, min_train_rows=150), 4)
 
 
 def walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = clean(spark, sf_dir)
-    return finish(models.walk_forward(table, partial(models.fit, spec=SPEC, kind="linear"), HOURLY, n_splits=3))
+    return finish(models.walk_forward_scores(clean(spark, sf_dir), SPEC, HOURLY, n_splits=3), 4)
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,8 +213,8 @@ QUERIES: dict[str, Query] = {
     "roundtrip_check": roundtrip_check,
     "rf_forecast": partial(forecast, kind="random_forest", params=models.QUICK_FOREST),
     "gbt_forecast": partial(forecast, kind="boosting", params={}),
-    "linear_forecast": partial(forecast, kind="linear", params={}),
-    "ridge_forecast": partial(forecast, kind="ridge", params={}),
+    "linear_forecast": partial(forecast, kind="linear", params={}, digits=4),
+    "ridge_forecast": partial(forecast, kind="ridge", params={}, digits=4),
     "rf_metrics": rf_metrics,
     "quick_train": quick_train,
     "rf_quantiles": rf_quantiles,

@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import json
+import math
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from barloom.operators import metrics, scaling, splits
+from barloom.operators import metrics, regression, scaling, splits
 from barloom.operators.layout import Layout, attach, positions
-from barloom.operators.probability import QUANTILES
+from barloom.operators.probability import PRIME, QUANTILES, draw_key, uniform_draws
 from barloom.plans import boosting
 from barloom.plans.features import FeatureSpec, clean_rows, reconcile, simple_features
 from barloom.session import materialized
@@ -165,10 +169,65 @@ def fallback_quantiles(predictions: DataFrame, quantiles: Sequence[float] = QUAN
     return predictions.select("series", "ts", "horizon", F.inline(F.array(*pairs)))
 
 
+@dataclass(frozen=True)
+class Resampled:
+    """Ridge forecasters on resamples of one table: intercepts [resample, horizon] and weights [resample, horizon, feature] of scaled features."""
+
+    features: tuple[str, ...]
+    horizons: tuple[int, ...]
+    scale: scaling.Scaling
+    intercepts: np.ndarray
+    weights: np.ndarray
+
+    def members(self, table: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Long rows with the sorted forecasts of the resamples as ``members``."""
+        model = self
+        scaled = [self.scale.column(c).alias(f"_x_{c}") for c in self.features]
+        rows = table.select("series", "ts", *keep, *scaled)
+        told = rows.select("series", "ts", *keep).schema
+        schema = StructType([*told.fields, StructField("horizon", IntegerType()), StructField("members", ArrayType(DoubleType()))])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = np.stack([batch.column(f"_x_{c}").to_numpy(zero_copy_only=False) for c in model.features], axis=1)
+                base = [batch.column(k) for k in range(len(told))]
+                for h, horizon in enumerate(model.horizons):
+                    found = np.sort(x @ model.weights[:, h].T + model.intercepts[:, h], axis=1)
+                    edges = pa.array(np.arange(len(x) + 1, dtype=np.int32) * found.shape[1])
+                    listed = pa.ListArray.from_arrays(edges, pa.array(found.ravel()))
+                    yield pa.RecordBatch.from_arrays([*base, pa.array(np.full(len(x), horizon, np.int32)), listed], schema.fieldNames())
+
+        return rows.mapInArrow(run, schema)
+
+
+def poisson_weights(key: Column, resamples: int) -> Column:
+    """How often each resample takes a row: draws of the Poisson distribution of mean 1, a function of the row's key alone."""
+    cuts = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(10)])
+    levels = F.array(*[F.lit(math.floor(c * PRIME)) for c in cuts])
+    return F.transform(uniform_draws(key, resamples), lambda u: F.size(F.filter(levels, lambda c: u >= c)))
+
+
+def ridge_bootstrap(train: DataFrame, spec: FeatureSpec, resamples: int = RESAMPLES, alpha: float = RIDGE_ALPHA, seed: int = 42) -> Resampled:
+    """Ridge forecasters on ``resamples`` resamples with replacement, in one pass over the rows.
+
+    A row's number of copies in each resample comes from the hash of its key, so resamples need no table and no second reading, and
+    do not depend on partitions. The sums of all resamples are one product of matrices in each task. Scaling is learned once.
+    """
+    scale = scaling.robust_scaling(train, spec.features)
+    scaled = train.select("series", "ts", *spec.targets, *[scale.column(c).alias(c) for c in spec.features])
+    centers = regression.centers_of(scaled, [*spec.features, *spec.targets])
+    problem = regression.Problem(centers, len(spec.features), len(spec.targets), alpha)
+    weights = poisson_weights(draw_key(seed, F.col("series"), F.unix_seconds("ts")), resamples)
+    sums = regression.summaries(scaled, F.lit(0), spec.features, spec.targets, centers, weights)
+    fits = sorted(regression.solved(sums, problem).collect(), key=lambda r: r.part)  # resamples x horizons x features numbers
+    intercepts = np.array([[f.intercept for f in r.fits] for r in fits])
+    return Resampled(tuple(spec.features), tuple(spec.horizons), scale, intercepts, np.array([[f.weights for f in r.fits] for r in fits]))
+
+
 def bootstrap(
     train: DataFrame, spec: FeatureSpec, resamples: int = RESAMPLES, kind: str = "random_forest", params: dict | None = None
 ) -> list[Forecaster]:
-    """Forecasters fitted on resamples with replacement; scaling is learned once on all rows."""
+    """Forecasters of any kind fitted on resamples one after another; scaling is learned once on all rows."""
     vectors = vectorizer(train, spec.features)
     return [
         fit(train.sample(withReplacement=True, fraction=1.0, seed=i), spec, kind, params, vectors)
@@ -224,6 +283,61 @@ def quick_train(
 FitOne = Callable[[DataFrame], Forecaster]
 
 
+def rolling_scores(
+    table: DataFrame,
+    spec: FeatureSpec,
+    train_days: int = 7,
+    test_days: int = 1,
+    step_days: int = 1,
+    min_train_rows: int = 1000,
+    alpha: float = RIDGE_ALPHA,
+) -> DataFrame:
+    """Errors of a ridge forecaster fitted anew on every sliding window over all series, features in units of their deviation there.
+
+    The windows' fits come from sums by day (see ``operators.regression``): rows are not read once for each window, and the
+    driver walks nothing. ``table`` is read several times: hand in a stored one.
+    """
+    unit = math.gcd(train_days, test_days, step_days)
+    train, test, step = train_days // unit, test_days // unit, step_days // unit
+    seconds = unit * splits.DAY
+    span = table.agg(F.unix_seconds(F.min("ts")).alias("first"), F.unix_seconds(F.max("ts")).alias("last")).first()
+    first, room = span.first or 0, (span.last or 0) - (span.first or 0) - (train + test) * seconds
+    windows = table.sparkSession.range(room // (step * seconds) + 1 if room >= 0 else 0).withColumnRenamed("id", "split")
+    part = F.expr(f"(unix_seconds(ts) - {first}) div {seconds}")
+    trains = windows.select("split", F.explode(F.sequence(F.col("split") * step, F.col("split") * step + train - 1)).alias("part"))
+    low = F.greatest(F.lit(0).cast("bigint"), F.ceil((part - train - test + 1) / step))
+    high = F.floor((part - train) / step)
+    tests = F.when(low <= high, F.sequence(low, F.greatest(low, high)))
+    scored = regression.cross_validated(table, part, trains, tests, spec.features, spec.horizons, alpha=alpha, min_rows=min_train_rows)
+    start = F.lit(first) + F.col("split") * step * seconds
+    middle, end = start + train * seconds, start + (train + test) * seconds
+    bounds = {"train_start": start, "train_end": middle, "test_start": middle, "test_end": end}
+    told = scored.withColumns({k: F.timestamp_seconds(c) for k, c in bounds.items()}).withColumn("model", F.lit("ridge"))
+    # numbers of the windows that are kept, without a gap
+    kept = scored.select("split").distinct().withColumn("_number", F.row_number().over(Window.orderBy("split")))
+    return told.join(kept, "split").withColumn("split", F.col("_number")).drop("_number")
+
+
+def walk_forward_scores(
+    table: DataFrame, spec: FeatureSpec, layout: Layout, n_splits: int = 5, test_size: float = 0.2, alpha: float = 0.0
+) -> DataFrame:
+    """Errors of a linear forecaster in expanding-window validation by row position, the same share of every series in each split.
+
+    A row trains for the first few splits, as they reach back less and less, so sums by that number of splits make all fits.
+    """
+    placed = materialized(positions(table, layout), "placed")
+    sizes = placed.groupBy("series").agg((F.max("pos") + 1).alias("size"))
+    cut = F.struct("split", F.col("test_start_pos").alias("begin"), F.col("test_end_pos").alias("end"))
+    cuts = splits.walk_forward_splits(sizes, n_splits, test_size).groupBy("series").agg(F.collect_list(cut).alias("_cuts"))
+    rows = materialized(attach(placed, cuts), "placed")
+    trained = F.array_max(F.transform(F.filter("_cuts", lambda c: F.col("pos") < c["begin"]), lambda c: c["split"]))
+    tests = F.transform(F.filter("_cuts", lambda c: (F.col("pos") >= c["begin"]) & (F.col("pos") < c["end"])), lambda c: c["split"])
+    numbers = table.sparkSession.range(1, n_splits + 1)
+    trains = numbers.select(F.col("id").alias("part"), F.explode(F.sequence(F.lit(1).cast("bigint"), "id")).alias("split"))
+    scored = regression.cross_validated(rows, trained, trains, tests, spec.features, spec.horizons, alpha=alpha)
+    return scored.withColumn("split", F.col("split").cast("int")).withColumn("model", F.lit("linear"))
+
+
 def rolling_validation(
     table: DataFrame,
     fit_one: FitOne,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracles import regressions
 from oracles.base import BARS_1H, shaped
 from oracles.features import SIMPLE, clean_table
 
@@ -38,6 +39,7 @@ SELECT split, sum(train) AS train_samples, sum(test) AS test_samples, {len(HORIZ
 FEATURES = ", ".join(f"'{c}'" for c in SIMPLE)
 
 ORACLES = {
+    **regressions.ORACLES,
     "rf_member_check": members(10),
     "rf_member_check_small": members(100),
     "rf_member_check_full": members(200),
