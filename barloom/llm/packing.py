@@ -29,9 +29,9 @@ from barloom.session import materialized
 
 CAPACITY = 2048
 #: Encoded words kept by a Python worker between batches.
-CACHE = 500_000
-#: Buckets a length's pieces are numbered in.
-BUCKETS = 64
+CACHE = 1_200_000
+#: Pieces of one length that are numbered in one bucket, on average.
+BUCKET_ROWS = 50_000
 
 
 class WordIds:
@@ -161,17 +161,18 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Sequences]
         n = large[-1]
         count = left[n]
         k = bisect.bisect_right(large, capacity - n) - 1
+        if k >= 0 and large[k] == n and count == 1:
+            k -= 1  # the last one of its length takes the next shorter partner
         if k < 0:
             made = Sequences(count, [], capacity)
             made.add(n, 1, capacity)
         else:
             m = large[k]
             count = count // 2 if m == n else min(count, left[m])
-            made = Sequences(count or 1, [], capacity)
+            made = Sequences(count, [], capacity)
             made.add(n, 1, capacity)
-            if count:
-                made.add(m, 1, capacity)
-                left[m] -= count
+            made.add(m, 1, capacity)
+            left[m] -= count
         left[n] -= made.count
         (opened.put if made.free else closed.append)(made)
         large = [x for x in large if left[x]]
@@ -208,8 +209,13 @@ def runs_of(sequences: list[Sequences]) -> list[tuple[int, int, int, int, int]]:
 def packed(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to pieces (any columns, with ``length``). ``found`` is read more than once: hand in a stored table."""
     spark = found.sparkSession
-    salted = found.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS)))
-    counts = salted.groupBy("length", "bucket").count().collect()  # at most capacity x BUCKETS numbers
+    # a frequent length has as many buckets as its pieces need
+    buckets = [1] * (capacity + 1)
+    for length, n in found.groupBy("length").count().collect():
+        buckets[length] += n // BUCKET_ROWS
+    spread = F.pmod(F.xxhash64("doc_id", "piece"), F.get(F.lit(buckets), F.col("length").cast("int")))
+    salted = found.withColumn("bucket", spread)
+    counts = salted.groupBy("length", "bucket").count().collect()  # capacity and pieces / BUCKET_ROWS numbers
     begin: dict[tuple[int, int], int] = {}
     histogram: dict[int, int] = {}
     for length, bucket, n in sorted(counts):

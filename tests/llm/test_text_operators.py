@@ -1,6 +1,7 @@
 """The text operators beside brute-force versions, on small tables and on the odd cases all of them must stand."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -200,6 +201,29 @@ def test_plan_holds_every_piece():
 # 4
 
 
+def test_single_pieces_find_partners():
+    for each, most in ((1, 151), (101, 15_201)):
+        assert sum(s.count for s in packing.plan(dict.fromkeys(range(700, 1001), each))) <= most
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_large_pieces_fill_as_few_sequences_as_can_be(seed):
+    # two large pieces at most fit, so the least number of sequences is pieces less the largest matching
+    rng = random.Random(seed)
+    lengths = [rng.randrange(683, 1500) for _ in range(12)]
+
+    @functools.cache
+    def matched(left):
+        if not left:
+            return 0
+        rest = left[1:]
+        pairs = [matched(rest[:k] + rest[k + 1 :]) + 1 for k, n in enumerate(rest) if n + left[0] <= 2048]
+        return max([matched(rest), *pairs])
+
+    got = sum(s.count for s in packing.plan(dict(collections.Counter(lengths))))
+    assert got == len(lengths) - matched(tuple(sorted(lengths)))
+
+
 def test_quality_counts(spark, small):
     got = result(spark, "op4_decision_list")
     for doc_id, text in small:
