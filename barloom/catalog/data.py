@@ -93,7 +93,10 @@ def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(bar_ops.keep_first(_repeated(spark, sf_dir), "batch"), 8)
+    """The batch decides, then the price (different ones are over a millionth apart) and the volume."""
+    copies = _repeated(spark, sf_dir).withColumn("_price", F.round(F.col("open") * 1_000_000).cast("bigint"))
+    order = bar_ops.packed(("batch", 15), ("_price", 17), ("volume", 6))
+    return finish(bar_ops.keep_first(copies, order).drop("_price"), 8)
 
 
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +131,7 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = bars_1d(spark, sf_dir)
     first = d.where(F.year("ts") <= 1998).withColumn("seq", F.lit(1))
     second = d.where(F.year("ts") >= 1998).withColumns({"seq": F.lit(2), "volume": F.col("volume") + 1})
-    return finish(bar_ops.keep_first(bar_ops.combine([first, second]), "seq"), 8)
+    return finish(bar_ops.keep_first(bar_ops.combine([first, second]), bar_ops.packed(("seq", 1))), 8)
 
 
 def _keys(bars: DataFrame) -> DataFrame:

@@ -87,7 +87,15 @@ def summary_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finish(metrics.box_stats(by_split(spark, sf_dir), "rmse", ["model", "series"]))
+    return finish(metrics.box_stats(materialized(by_split(spark, sf_dir), "errors"), "rmse", ["model", "series"]))
+
+
+def residual_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of every model's residuals by horizon, over single forecasts: groups grow with the table."""
+    rows = materialized(metrics.residuals(forecasts(spark, sf_dir)).select("model", "horizon", "residual"), "residuals")
+    levels = (0.05, 0.5, 0.95)
+    found = scaling.group_quantiles(rows, ["model", "horizon"], "residual", levels, limit=64)
+    return finish(found.select("model", "horizon", *[F.get("quantiles", F.lit(k)).alias(f"q{round(100 * q)}") for k, q in enumerate(levels)]))
 
 
 def boxplot_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "summary_row": summary_row,
     "boxplot_stats": boxplot_stats,
     "boxplot_by_model": boxplot_by_model,
+    "residual_quantiles": residual_quantiles,
     "residuals": residuals,
     "pred_vs_actual": pred_vs_actual,
     "robust_scale": robust_scale,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from barloom.catalog import Query
 from barloom.catalog.tables import DAILY, HOURLY, SECONDS, bars_1d, bars_1h, bars_1s, finish, supplier_bars
 from barloom.functions import timeparts
 from barloom.operators import rolling, technical
-from barloom.operators.layout import Layout, over_chunks
+from barloom.operators.layout import Layout, map_rows, over_chunks
 from barloom.operators.metrics import error_metrics, long_predictions
 from barloom.operators.recurrence import Smooth, with_smoothed
 from barloom.plans import features
@@ -144,6 +146,25 @@ def supplier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(error_metrics(forecasts, ["series", "horizon"]))
 
 
+SLOPE_ROWS = 60
+
+
+def slopes(chunk: pd.DataFrame) -> pd.DataFrame:
+    """Slope of a straight line through the last ``SLOPE_ROWS`` closes: a function as a caller may bring one."""
+    x = np.arange(SLOPE_ROWS) - (SLOPE_ROWS - 1) / 2
+    found = np.full(len(chunk), np.nan)
+    if len(chunk) >= SLOPE_ROWS:
+        windows = np.lib.stride_tricks.sliding_window_view(chunk["close"].to_numpy(float), SLOPE_ROWS)
+        found[SLOPE_ROWS - 1 :] = windows @ x / (x @ x)
+    return pd.DataFrame({"slope": found})
+
+
+def mapped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = materialized(features.priced(bars_1h(spark, sf_dir)).select(*KEYS, "close"), "bars")
+    rows = map_rows(bars, HOURLY, SLOPE_ROWS - 1, 0, slopes, "slope double").drop("close")
+    return finish(rows.withColumn("slope", F.nanvl("slope", F.lit(None).cast("double"))))
+
+
 HLC = ("high", "low", "close")
 LONG = technical.HISTORY_ROWS
 
@@ -179,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "stochastic": windowed(technical.with_stochastic, 16, inputs=HLC),
     "williams_r": windowed(columns(lambda w: {"williams_r": technical.williams_column(w)}), 14, inputs=HLC),
     "cci": windowed(technical.with_cci, 20, inputs=HLC),
+    "mapped_rows": mapped_rows,
     "obv": obv,
     "ema": windowed(ema, LONG),
     "rsi": rsi,

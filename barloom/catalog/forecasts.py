@@ -10,7 +10,7 @@ from barloom.catalog.tables import HOURLY, bars_1d, bars_1h, finish
 from barloom.functions import labels
 from barloom.operators import calibration, probability, splits
 from barloom.plans import live
-from barloom.session import scratch_path
+from barloom.session import materialized, publish, register_functions, scratch_path
 from barloom.sources import files
 
 HORIZONS = (1, 2, 5, 10, 20)
@@ -105,6 +105,32 @@ def sampled_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(probability.sampled_probabilities(ensemble(spark, sf_dir)))
 
 
+def sql_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event probabilities asked for in SQL alone, by the functions that the session registers."""
+    register_functions(spark)
+    publish({"ensemble_forecasts": ensemble(spark, sf_dir)})
+    return finish(spark.sql("""
+        WITH gridded AS (SELECT series, ts, horizon, close, percentile_grid(members) AS grid FROM ensemble_forecasts)
+        SELECT series, ts, horizon, above_name(close * 1.01D) AS up, between_name(close * 0.998D, close * 1.002D) AS band,
+          sorted_quantile(grid, 0.5D) AS middle, event_probability(grid, 'above', close * 1.01D, NULL) AS p_up,
+          event_probability(grid, 'below', close * 0.99D, NULL) AS p_down,
+          event_probability(grid, 'between', close * 0.998D, close * 1.002D) AS p_band FROM gridded"""))
+
+
+def sql_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rolling windows of each series by the session's table function, with the rows they train on."""
+    register_functions(spark)
+    publish({"hourly_bars": materialized(bars_1h(spark, sf_dir).select("series", "ts"), "bars")})
+    return finish(spark.sql("""
+        WITH days AS (SELECT b.series, first, unix_seconds(ts) - unix_seconds(first) AS age FROM hourly_bars b
+            JOIN (SELECT series, min(ts) AS first FROM hourly_bars GROUP BY series) USING (series)),
+        windows AS (SELECT s.series, w.* FROM (SELECT series, min(ts) AS first, max(ts) AS last FROM hourly_bars GROUP BY series) s,
+            LATERAL split_windows(s.first, s.last, 7, 1, 1) w),
+        trained AS (SELECT series, number, count(*) AS train_samples FROM (SELECT series,
+            explode(sequence(greatest(0L, age div 86400 - 6), age div 86400)) AS number FROM days) GROUP BY series, number)
+        SELECT series, number, train_start, test_start, test_end, train_samples FROM windows JOIN trained USING (series, number)"""))
+
+
 def probability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(probability.probability_summary(scored(spark, sf_dir)))
 
@@ -172,6 +198,8 @@ QUERIES: dict[str, Query] = {
     "probabilities_wide": probabilities_wide,
     "sampled_distribution": sampled_distribution,
     "sampled_probabilities": sampled_probabilities,
+    "sql_probabilities": sql_probabilities,
+    "sql_splits": sql_splits,
     "probability_summary": probability_summary,
     "brier_logloss": brier_logloss,
     "ece": ece,

@@ -69,14 +69,14 @@ def gbt_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boosting_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per horizon: trees, the most leaves and fewest rows of a leaf, rounds in which the training loss rose, and rows of the test
+    """Per horizon: trees, whether leaves keep to their number and have rows enough, rounds in which the training loss rose, and rows of the test
     part whose forecast isn't what SQL makes of the dumped nodes."""
     train, test = prepared(spark, sf_dir)
     model = models.fit(train, SPEC, "boosting")
     nodes = materialized(model.nodes(spark), "nodes")
     per_tree = nodes.groupBy("horizon", "tree").agg(F.count_if(F.col("feature").isNull()).alias("leaves"), F.min("rows").alias("fewest"))
     shape = per_tree.groupBy("horizon").agg(
-        F.count(F.lit(1)).alias("trees"), F.max("leaves").alias("most_leaves"), (F.min("fewest") >= boosting.Params().leaf_rows).alias("leaves_filled")
+        F.count(F.lit(1)).alias("trees"), (F.max("leaves") <= boosting.Params().leaves).alias("leaves_bounded"), (F.min("fewest") >= boosting.Params().leaf_rows).alias("leaves_filled")
     )
     losses = spark.createDataFrame([(h, sum(b > a * (1 + 1e-12) for a, b in pairwise(loss))) for h, loss in zip(model.horizons, model.losses, strict=True)], "horizon int, rises int")
     told = model.predict(test, list(SPEC.features)).withColumn("_x", F.array(*SPEC.features))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from barloom.catalog import Query
 from barloom.catalog.learning import SPEC, forest, prepared
-from barloom.catalog.tables import bars_1h, finish, table
+from barloom.catalog.tables import bars_1h, finish, table, ticks
+from barloom.operators.layout import Layout
+from barloom.operators.sessions import sessions
 from barloom.session import materialized, scratch_path
 from barloom.streaming import intake, scoring, stateful
 
@@ -55,6 +57,21 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(intake.drain(intake.sliding_stats(tick_stream(spark, sf_dir), "120 minutes", "60 minutes"), "sliding"))
 
 
+SESSION_GAP = 1800
+#: Stamps have microseconds, so a slot of this many seconds is not bounded by its steps; it is by the rate of ticks.
+STAMPS = Layout(step_seconds=1, chunk_rows=65_536)
+
+
+def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of all ticks, in batch."""
+    return finish(sessions(ticks(spark, sf_dir), SESSION_GAP, STAMPS))
+
+
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions the watermark has closed by the end of the data."""
+    return finish(intake.drain(intake.sessions(tick_stream(spark, sf_dir), f"{SESSION_GAP} seconds"), "sessions"))
+
+
 def featured(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
     """Stream features of bars that land and are read in turn, the first delivery once more at the end if ``again``."""
     landed, bars, parts = deliveries(spark, sf_dir)
@@ -92,6 +109,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_bars": stream_bars,
     "stream_sliding": stream_sliding,
+    "session_windows": session_windows,
+    "stream_sessions": stream_sessions,
     "stream_features": stream_features,
     "stream_late_bars": stream_late_bars,
     "stream_scoring": stream_scoring,

@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BLOCK = 512  # rows per recurrence block, see operators.recurrence
 
@@ -133,14 +135,51 @@ def over_chunks(
     return core.drop("_chunk", "_block", *([] if keep_position else ["pos"]))
 
 
+def map_rows(
+    bars: DataFrame,
+    layout: Layout,
+    before: int,
+    after: int,
+    function: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    *,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Columns by a function of the caller's over consecutive rows, where Spark has no expression for it.
+
+    ``function`` gets a stretch of one series in time order as a pandas frame with ``pos``, the row's number in its series. It returns
+    as many rows, with the columns of ``schema``. What it says of a row may depend on ``before`` rows before and ``after`` rows
+    behind it, no more: a series is cut into chunks that carry these neighbours, so the result is that over whole series
+    while no task ever holds one.
+    """
+    kept = [c for c in (columns or bars.columns) if c != "pos"]
+    added = StructType.fromDDL(schema)
+    placed = bars.select(*kept, "pos") if "pos" in bars.columns else positions(bars.select(*kept), layout)
+    size = max(layout.chunk_rows, before + after, 1)
+    first, last = F.greatest(F.lit(0).cast("bigint"), F.expr(f"(pos - {after}) div {size}")), F.expr(f"(pos + {before}) div {size}")
+    spread = placed.withColumn("_chunk", F.explode(F.sequence(first, last)))
+    out = StructType([*placed.select(*kept).schema.fields, *added.fields])
+
+    def run(key: tuple, chunk: pd.DataFrame) -> pd.DataFrame:
+        chunk = chunk.sort_values("pos", ignore_index=True).drop(columns="_chunk")
+        found = function(chunk)
+        if len(found) != len(chunk):
+            raise ValueError(f"the function returned {len(found)} rows for {len(chunk)}")
+        own = (chunk["pos"] // size == key[1]).to_numpy()
+        told = {n: found[n].to_numpy()[own] for n in added.fieldNames()}
+        return chunk.loc[own, kept].assign(**told)
+
+    return spread.groupBy("series", "_chunk").applyInPandas(run, out)
+
+
 def attach(
-    bars: DataFrame, per_key: DataFrame, keys: Sequence[str] = ("series",), *, how: str = "inner", salts: int = 16
+    bars: DataFrame, per_key: DataFrame, keys: Sequence[str] = ("series",), *, how: str = "inner", salts: int = 16, spread: Sequence[str] = ("ts",)
 ) -> DataFrame:
-    """Join values known per key onto rows that carry ``ts``.
+    """Join values known per key onto rows; ``spread`` names columns in which the rows of one key differ.
 
     Small tables are broadcast by their measured size. Beyond that limit a hot key is spread
     over ``salts`` tasks, each with its own copy of the one-row-per-key side.
     """
     salted = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keyed = bars.withColumn("_salt", F.pmod(F.xxhash64("ts"), F.lit(salts)).cast("int"))
+    keyed = bars.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     return keyed.join(salted, [*keys, "_salt"], how).drop("_salt")

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.labels import display_name
+from barloom.operators import scaling
+from barloom.operators.layout import attach
 
 ERRORS = ("rmse", "mae", "mape")
 
@@ -118,17 +120,13 @@ def overall_summary(metrics: DataFrame) -> DataFrame:
 
 
 def box_stats(metrics: DataFrame, error: str = "rmse", by: Sequence[str] = ("model",)) -> DataFrame:
-    """Quartiles and 1.5 IQR whiskers clipped to the data.
-
-    Groups hold one row per split and horizon of a model, not forecasts.
-    """
+    """Quartiles and 1.5 IQR whiskers clipped to the data. ``metrics`` is read several times: hand in a stored table."""
     keys = list(by)
-    quartiles = metrics.groupBy(*keys).agg(F.percentile(error, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("_q"))
-    q1, q2, q3 = (F.get("_q", F.lit(i)) for i in range(3))
+    quartiles = scaling.group_quantiles(metrics, keys, error, (0.25, 0.5, 0.75))
+    q1, q2, q3 = (F.get("quantiles", F.lit(i)) for i in range(3))
     reach = (q3 - q1) * 1.5
-    bounded = metrics.join(
-        quartiles.select(*keys, q1.alias("q1"), q2.alias("median"), q3.alias("q3"),
-                         (q1 - reach).alias("_lo"), (q3 + reach).alias("_hi")), keys)
+    bounds = quartiles.select(*keys, q1.alias("q1"), q2.alias("median"), q3.alias("q3"), (q1 - reach).alias("_lo"), (q3 + reach).alias("_hi"))
+    bounded = attach(metrics.select(*keys, error), bounds, keys, spread=[error])
     value = F.col(error)
     return bounded.groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(value >= F.col("_lo"), value)).alias("whisker_low"),

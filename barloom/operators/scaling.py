@@ -9,6 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.operators.layout import attach
+from barloom.session import materialized
+
 
 @dataclass
 class _Search:
@@ -137,6 +140,77 @@ def _gather(df: DataFrame, searches: Sequence[_Search]) -> list[tuple[float, flo
     return [tuple(next(found)[0:2]) if s.known is None else s.known for s in searches]
 
 
+#: Parts into which a pass cuts the bracket of a group's quantile.
+CUTS = 128
+
+
+def group_quantiles(df: DataFrame, by: Sequence[str], column: str, quantiles: Sequence[float], *, limit: int = 10_000) -> DataFrame:
+    """Linearly interpolated quantiles of a column by group: ``by`` and ``quantiles``, an array.
+
+    Exact like ``exact_quantiles``, for any number of groups of any size. Each pass cuts the bracket around every group's wanted
+    ranks at sketched quantiles, counts what lies between and at the cuts, and keeps the part that holds the ranks, about 1 / CUTS of
+    it. Only brackets of at most ``limit`` values are gathered, so no task ever holds a group. ``df`` is read once for each pass:
+    hand in a stored table. Missing values do not count; groups without others, or with a NULL key, are left out.
+    """
+    keys = list(by)
+    rows = df.select(*keys, F.col(column).cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("inside"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    ranks = [F.struct(F.lit(k).alias("k"), F.lit(float(q)).alias("q"), (F.col("inside") - 1).alias("top")) for k, q in enumerate(quantiles)]
+    start = sizes.select(*keys, "inside", "lo", "hi", F.lit(0).cast("bigint").alias("below"), F.inline(F.array(*ranks)))
+    rank = F.col("q") * F.col("top")
+    brackets = start.withColumns({"first": F.floor(rank), "second": F.ceil(rank), "share": rank - F.floor(rank)}).drop("q", "top")
+    brackets = materialized(brackets, "brackets")
+    wide = (F.col("inside") > limit) & (F.col("lo") < F.col("hi"))
+    while brackets.where(wide).head(1):
+        brackets = materialized(_narrowed(rows, keys, brackets.where(wide)).unionByName(brackets.where(~wide)), "brackets")
+    loose = F.col("lo") < F.col("hi")
+    held = _in_brackets(rows, keys, brackets.where(loose)).groupBy(*keys, "k").agg(F.sort_array(F.collect_list("_x")).alias("_held"))
+    told = brackets.join(held, [*keys, "k"], "left")
+    a, b = (F.coalesce(F.get("_held", (F.col(r) - F.col("below")).cast("int")), F.col("lo")) for r in ("first", "second"))
+    found = told.select(*keys, "k", (a + (b - a) * F.col("share")).alias("_v"))
+    gathered = found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("k", "_v"))).alias("_q"))
+    return gathered.select(*keys, F.transform("_q", lambda s: s["_v"]).alias("quantiles"))
+
+
+def _in_brackets(rows: DataFrame, keys: list[str], brackets: DataFrame, *extra: str) -> DataFrame:
+    """Rows once for each bracket of their group that holds them."""
+    bracket = F.struct("k", "lo", "hi", *extra)
+    per_group = brackets.groupBy(*keys).agg(F.collect_list(bracket).alias("_b"))
+    inside = F.filter("_b", lambda b: (F.col("_x") >= b["lo"]) & (F.col("_x") <= b["hi"]))
+    return attach(rows, per_group, keys, spread=["_x"]).select(*keys, "_x", F.inline(inside))
+
+
+def _narrowed(rows: DataFrame, keys: list[str], brackets: DataFrame) -> DataFrame:
+    levels = F.array(*[F.lit(k / CUTS) for k in range(1, CUTS)])
+    sketched = _in_brackets(rows, keys, brackets).groupBy(*keys, "k").agg(F.array_distinct(F.percentile_approx("_x", levels, 100 * CUTS)).alias("cuts"))
+    cut = brackets.join(sketched, [*keys, "k"])
+    # values between two cuts have an even number, those equal to a cut an odd one
+    number = F.size(F.filter("cuts", lambda c: c < F.col("_x"))) * 2 + F.array_contains("cuts", F.col("_x")).cast("int")
+    counts = (
+        _in_brackets(rows, keys, cut, "cuts")
+        .groupBy(*keys, "k", number.alias("number"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("least"), F.max("_x").alias("most"))
+    )
+    listed = counts.groupBy(*keys, "k").agg(F.array_sort(F.collect_list(F.struct("number", "n", "least", "most"))).alias("parts"))
+    joined = brackets.join(listed, [*keys, "k"])
+    # running counts, and the parts that hold either rank
+    told = F.aggregate(
+        "parts",
+        F.struct(F.col("below").alias("seen"), F.col("below").alias("below"), F.lit(0).cast("bigint").alias("inside"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")),
+        lambda s, p: F.when(
+            (F.col("first") < s["seen"] + p["n"]) & (F.col("second") >= s["seen"]),
+            F.struct(
+                (s["seen"] + p["n"]).alias("seen"),
+                F.when(s["lo"].isNull(), s["seen"]).otherwise(s["below"]).alias("below"),
+                (s["inside"] + p["n"]).alias("inside"),
+                F.coalesce(s["lo"], p["least"]).alias("lo"),
+                p["most"].alias("hi"),
+            ),
+        ).otherwise(F.struct((s["seen"] + p["n"]).alias("seen"), s["below"].alias("below"), s["inside"].alias("inside"), s["lo"].alias("lo"), s["hi"].alias("hi"))),
+    )
+    return joined.withColumn("_t", told).select(*keys, "k", "first", "second", "share", *[F.col(f"_t.{c}").alias(c) for c in ("inside", "lo", "hi", "below")])
+
+
 @dataclass(frozen=True)
 class Scaling:
     """Shift and divisor per column, learned on training rows and kept with the model."""

@@ -47,12 +47,17 @@ def resample(ticks: DataFrame, step_seconds: int, order: Sequence[str] | Column)
     )
 
 
-def keep_first(bars: DataFrame, sequence: str) -> DataFrame:
+def keep_first(bars: DataFrame, sequence: str | Column) -> DataFrame:
     """One row per (series, ts): the one ingested first.
 
-    An aggregate rather than a ranking window: copies of one key shrink map-side.
+    An aggregate rather than a ranking window: copies of one key shrink map-side. ``sequence`` is an order key (see ``packed``) that
+    sets all different copies of a bar apart; numbers are then kept side by side by hashing. With a column's name, equal
+    sequences are told apart by the other columns, for which Spark aggregates whole rows by sorting.
     """
     rest = [c for c in bars.columns if c not in ("series", "ts")]
+    if isinstance(sequence, Column):
+        ordered = bars.withColumn("_order", sequence)
+        return ordered.groupBy("series", "ts").agg(*[F.min_by(c, "_order").alias(c) for c in rest]).select(*bars.columns)
     first = F.min_by(F.struct(*rest), F.struct(sequence, *[c for c in rest if c != sequence])).alias("_row")
     return bars.groupBy("series", "ts").agg(first).select("series", "ts", "_row.*").select(*bars.columns)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from barloom.operators.sessions import SESSION, session_columns
 from barloom.session import prepare, scratch_path
 
 DELAY = "10 minutes"
@@ -61,6 +62,19 @@ def sliding_stats(stream: DataFrame, length: str, slide: str, delay: str = DELAY
     )
 
 
+def sessions(stream: DataFrame, gap: str, delay: str = DELAY) -> DataFrame:
+    """Stretches of ticks of a series, each less than ``gap`` after the one before; emitted once the watermark closes them.
+
+    State is one row for each open session: sessions that a late tick joins are merged.
+    """
+    return (
+        stream.withWatermark("ts", delay)
+        .groupBy(F.session_window("ts", gap), "series")
+        .agg(*[c.alias(k) for k, c in session_columns(F.lit(1), F.col("price"), F.col("volume")).items()])
+        .select("series", F.col("session_window.start").alias("start_ts"), F.col("session_window.end").alias("end_ts"), *SESSION)
+    )
+
+
 def drain(stream: DataFrame, name: str, *, mode: str = "append", path: str | None = None) -> DataFrame:
     """Run a stream over everything available into files of the shared folder, and read them.
 

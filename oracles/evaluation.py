@@ -115,6 +115,12 @@ SELECT model, q1, median, q3, min(rmse) FILTER (rmse >= q1 - 1.5::DOUBLE * (q3 -
 FROM metrics JOIN q USING (model) GROUP BY model, q1, median, q3""",
         "q1 median q3 whisker_low whisker_high"
     ),
+    "residual_quantiles": shaped(
+        f"""{METRICS} SELECT model, horizon, quantile_cont(actual - prediction, 0.05) AS q5, quantile_cont(actual - prediction, 0.5) AS q50,
+  quantile_cont(actual - prediction, 0.95) AS q95 FROM forecasts GROUP BY model, horizon""",
+        "q5 q50 q95",
+        "horizon",
+    ),
     "residuals": shaped(
         f"{METRICS} SELECT series, ts, split, model, horizon, actual - prediction AS residual FROM forecasts",
         "residual",

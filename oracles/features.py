@@ -248,6 +248,12 @@ FROM ({clean_table(BARS_1D)}) GROUP BY series""",
     "rolling_skew_kurt": select(stats("skew", "kurt"), digits=7),
     "rolling_rel_zscore": select(stats("rel_ma", "zscore"), digits=7),
     "volume_features": select(VOLUME),
+    "mapped_rows": shaped(
+        f"""{WITH_1H}, n AS (SELECT series, ts, close, row_number() OVER {W} AS pos FROM bars WHERE close IS NOT NULL)
+SELECT series, ts, CASE WHEN count(*) OVER w = 60 THEN regr_slope(close, pos) OVER w END AS slope
+FROM n WINDOW w AS (PARTITION BY series ORDER BY ts ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)""",
+        "slope",
+    ),
     "returns": select({**RETURN, **CHANGES}),
     "candle_shape": select(CANDLE),
     "calendar_features": whole(CALENDAR),

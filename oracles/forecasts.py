@@ -190,6 +190,18 @@ FROM scored GROUP BY series, ts, horizon""",
         "horizon",
         digits=9,
     ),
+    "sql_probabilities": shaped(
+        f"""WITH {ENSEMBLE}, {GRID} SELECT series, ts, horizon, 'above_' || CAST(trunc(close * 1.01::DOUBLE) AS BIGINT) AS up,
+  'between_' || CAST(trunc(close * 0.998::DOUBLE) AS BIGINT) || '_' || CAST(trunc(close * 1.002::DOUBLE) AS BIGINT) AS band, g[50] AS middle,
+  1 - ({cdf("close * 1.01::DOUBLE")}) AS p_up, {cdf("close * 0.99::DOUBLE")} AS p_down,
+  ({cdf("close * 1.002::DOUBLE")}) - ({cdf("close * 0.998::DOUBLE")}) AS p_band FROM gridded""",
+        "middle p_up p_down p_band",
+        "horizon",
+    ),
+    "sql_splits": f"""WITH bars AS ({BARS_1H}), span AS (SELECT series, min(ts) AS f, max(ts) AS l FROM bars GROUP BY series),
+w AS (SELECT series, i AS number, f + to_days(CAST(i AS INTEGER)) AS train_start FROM span, range(1000) t(i) WHERE f + to_days(CAST(i + 8 AS INTEGER)) <= l)
+SELECT series, number, train_start, train_start + INTERVAL 7 DAY AS test_start, train_start + INTERVAL 8 DAY AS test_end,
+  (SELECT count(*) FROM bars b WHERE b.series = w.series AND b.ts >= train_start AND b.ts < train_start + INTERVAL 7 DAY) AS train_samples FROM w""",
     "sampled_distribution": shaped(
         f"""{DRAWN} SELECT series, ts, horizon, 1000 AS draws, list_avg(v) AS mean, list_stddev_pop(v) AS deviation,
   list_min(v) AS low, list_max(v) AS high FROM drawn""",

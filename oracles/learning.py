@@ -44,10 +44,10 @@ ORACLES = {
     "rf_member_check_small": members(100),
     "rf_member_check_full": members(200),
     "boosting_check": shaped(
-        f"""{TEST} SELECT horizon, 200 AS trees, 31 AS most_leaves, true AS leaves_filled, 0 AS rises, count(*) AS rows, 0 AS off
+        f"""{TEST} SELECT horizon, 200 AS trees, true AS leaves_bounded, true AS leaves_filled, 0 AS rises, count(*) AS rows, 0 AS off
 FROM test CROSS JOIN {EACH} GROUP BY horizon""",
         "",
-        "horizon trees most_leaves rises rows off",
+        "horizon trees rises rows off",
     ),
     "importance_check": shaped(f"SELECT horizon, 1.0 AS total, 0 AS negative FROM {EACH}", "total", "horizon negative"),
     "normal_equations": shaped(

@@ -7,7 +7,15 @@ from oracles.features import SIMPLE, picked
 
 CLOSED = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
 
+ISLANDS = """SELECT series, min(ts) AS start_ts, max(ts) + INTERVAL 30 MINUTE AS end_ts, count(*) AS ticks, sum(volume) AS volume,
+  min(price) AS low, max(price) AS high FROM (SELECT *, sum(opens) OVER (PARTITION BY series ORDER BY ts) AS island FROM (
+    SELECT event_type AS series, ts, value AS price, CAST(props->>'$.k' AS DOUBLE) AS volume,
+      CASE WHEN ts <= lag(ts) OVER (PARTITION BY event_type ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM events))
+GROUP BY series, island"""
+
 ORACLES = {
+    "session_windows": shaped(ISLANDS, "volume low high"),
+    "stream_sessions": shaped(f"SELECT * FROM ({ISLANDS}) WHERE end_ts <= {CLOSED}", "volume low high"),
     "stream_dedup": shaped(
         """SELECT event_type AS series, ts, value AS price, CAST(props->>'$.k' AS DOUBLE) AS volume, event_id FROM events""",
         "price volume",

@@ -66,8 +66,10 @@ def test_first_copy_wins_even_when_one_key_dominates(spark):
         (F.col("id") * 1.0).alias("close"), (3000 - F.col("id")).alias("seq"),
     )
     rest = spark.sql("SELECT 'a' series, timestamp'2024-01-02' ts, double(7) close, bigint(1) seq")
-    got = collected(bar_ops.keep_first(bar_ops.combine([copies, rest]), "seq"))
-    assert got.close.tolist() == [2999.0, 7.0]
+    for order in ("seq", bar_ops.packed(("seq", 9))):
+        kept = bar_ops.keep_first(bar_ops.combine([copies, rest]), order)
+        assert collected(kept).close.tolist() == [2999.0, 7.0] and kept.columns == copies.columns
+    assert "SortAggregate" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
 def test_resample_open_and_close_follow_the_order(spark):
