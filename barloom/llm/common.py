@@ -56,11 +56,12 @@ def arrow_schema(df: DataFrame) -> pa.Schema:
 class WordHashes:
     """64-bit hashes of the words of many texts, as one flat array."""
 
-    def __init__(self):
+    def __init__(self, most: int = CACHE):
+        self.most = most
         self.cache: dict[bytes, int] = {}
 
     def __call__(self, words: list[list[bytes]]) -> np.ndarray:
-        if len(self.cache) > CACHE:
+        if len(self.cache) > self.most:
             self.cache.clear()
         for w in set().union(*words).difference(self.cache):
             self.cache[w] = xxhash.xxh3_64_intdigest(w)

@@ -34,6 +34,9 @@ HASHES = 100
 #: Documents of a block, and of the small components that a task takes together.
 BLOCK = 256
 TOGETHER = 1000
+#: Word hashes that a worker keeps, and characters it works on at a time: executors hold several workers beside Spark's own memory.
+CACHE = 200_000
+SLICE = 1_500_000
 
 
 def banding(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -46,7 +49,7 @@ class Shingles:
     """Sorted distinct n-gram hashes of texts, as one flat array with its ends."""
 
     def __init__(self):
-        self.hashes = WordHashes()
+        self.hashes = WordHashes(CACHE)
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         words = [t.split() for t in texts]
@@ -71,7 +74,7 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text", SLICE):
                 h, ends = shingles([t.encode() for t in texts])
                 n = np.diff(ends)
                 some = np.flatnonzero(n)
@@ -214,7 +217,10 @@ def joined(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
     hubs = entries.groupBy("band").agg(F.min("rid").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
     # stored, so that both sides of the join are dealt anew and Spark can split a band that very many texts share
     hubs = materialized(hubs, "hubs")
-    edges = entries.join(hubs, "band").filter("rid != hub").select(F.col("rid").alias("a"), F.col("hub").alias("b")).distinct()
+    # a document is linked to the least of its hubs, and so are its other hubs: copies share these few links between hubs
+    own = entries.join(hubs, "band").groupBy("rid").agg(F.collect_set("hub").alias("hubs")).select("rid", "hubs", F.array_min("hubs").alias("least"))
+    among = own.select(F.explode("hubs").alias("a"), F.col("least").alias("b")).distinct()
+    edges = own.select(F.col("rid").alias("a"), F.col("least").alias("b")).union(among).filter("a != b")
     nodes = components(edges).withColumnsRenamed({"node": "rid", "label": "comp"})
     sizes = nodes.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = nodes.join(sizes, "comp").join(classes.select("rid", "copies"), "rid")
