@@ -148,8 +148,20 @@ def calibration_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    thresholds = probability.live_thresholds(prices(bars_1h(spark, sf_dir)))
-    return live.forecast_documents(splits.latest(ensemble(spark, sf_dir)), thresholds)
+    """Documents of the newest bar: only the bars that its forecast reaches back to are forecast from."""
+    bars = materialized(splits.tail(bars_1h(spark, sf_dir), MEMBERS + max(HORIZONS), HOURLY), "newest")
+    newest = splits.latest(probability.error_ensemble(bars, HOURLY, HORIZONS, MEMBERS))
+    return live.forecast_documents(newest, probability.live_thresholds(prices(bars)))
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as JSON lines and as flat rows, read back: every field of either."""
+    told, path = materialized(documents(spark, sf_dir), "documents"), scratch_path(spark, "forecasts")
+    for form in ("json", "flat"):
+        files.write_documents(told, f"{path}/{form}", form)
+    whole = files.read_documents(spark, f"{path}/json", "json").select("series", "ts", F.lit("json").alias("form"), "current_price", "field", "value")
+    flat = files.read_documents(spark, f"{path}/flat", "flat").select("series", "ts", F.lit("flat").alias("form"), "current_price", "field", "value")
+    return finish(whole.unionByName(flat))
 
 
 def forecast_document(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +217,7 @@ QUERIES: dict[str, Query] = {
     "ece": ece,
     "calibration_curve": calibration_curve,
     "forecast_document": forecast_document,
+    "stored_documents": stored_documents,
     "forecast_flat": forecast_flat,
     "document_quantiles": document_quantiles,
     "forecast_health": forecast_health,

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.catalog import Query
 from barloom.catalog.learning import SPEC, forest, prepared
-from barloom.catalog.tables import bars_1h, finish, table, ticks
+from barloom.catalog.tables import HOURLY, bars_1h, finish, table, ticks
 from barloom.operators.layout import Layout
 from barloom.operators.sessions import sessions
+from barloom.plans import live
 from barloom.session import materialized, scratch_path
+from barloom.streaming import features as live_stream
 from barloom.streaming import intake, scoring, stateful
 
 
@@ -82,6 +86,16 @@ def featured(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame
     return rows
 
 
+def live_features(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """A whole feature set on bars that land in turn."""
+    landed, bars, parts = deliveries(spark, sf_dir)
+    path = scratch_path(spark, "live")
+    for delivery in parts:
+        land(delivery, landed)
+        live_stream.feature_stream(bars, path, f"{path}/checkpoint", HOURLY, kind=kind).awaitTermination()
+    return finish(live_stream.read_features(spark, path, kind).where("not late").drop("late", "batch_id"), 7)
+
+
 def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(featured(spark, sf_dir).where("not late").drop("late"))
 
@@ -92,8 +106,8 @@ def stream_late_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(rows.agg(F.sum((~F.col("late")).cast("bigint")).alias("in_time"), F.sum(F.col("late").cast("bigint")).alias("late")))
 
 
-def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of landed bars scored by a forest, one document per series and batch."""
+def scored(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Where the scores of landed bars are, and the bars."""
     train, _ = prepared(spark, sf_dir)
     model = forest(train)
     path = scratch_path(spark, "scores")
@@ -101,8 +115,30 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stateful.simple_features(bars).where("not late").select("series", "ts", "close", *SPEC.features)
     for delivery in parts:
         land(delivery, landed)
-        scoring.score_stream(rows, model, f"{path}/scores", f"{path}/checkpoint", keep_input=f"{path}/rows").awaitTermination()
-    return finish(scoring.read_scores(spark, f"{path}/scores"))
+        query = scoring.score_stream(rows, model, f"{path}/scores", f"{path}/checkpoint", keep_input=f"{path}/rows")
+        query.awaitTermination()
+        scoring.keep_progress(query, f"{path}/progress")
+    return path, spark.read.schema(bars.schema).parquet(landed)
+
+
+def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of landed bars scored by a forest, one document per series and batch."""
+    return finish(scoring.read_scores(spark, f"{scored(spark, sf_dir)[0]}/scores"))
+
+
+def live_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health five minutes after the newest bar, from the forecasts that a stream has made."""
+    path, bars = scored(spark, sf_dir)
+    now = bars.agg(F.date_format(F.max("ts") + F.make_dt_interval(mins=F.lit(5)), "yyyy-MM-dd HH:mm:ss").alias("t")).first().t
+    return finish(live.health(scoring.read_scores(spark, f"{path}/scores"), bars, now))
+
+
+def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each micro-batch took in: rows of its snapshot, as its progress report says, and documents made of them."""
+    path, _ = scored(spark, sf_dir)
+    kept = spark.read.schema("series string, ts timestamp, batch_id bigint").parquet(f"{path}/rows").groupBy("batch_id").agg(F.count(F.lit(1)).alias("kept"))
+    made = scoring.read_scores(spark, f"{path}/scores").groupBy("batch_id").agg(F.count(F.lit(1)).alias("documents"))
+    return finish(kept.join(made, "batch_id").join(scoring.read_progress(spark, f"{path}/progress"), "batch_id").drop("at"))
 
 
 QUERIES: dict[str, Query] = {
@@ -112,6 +148,10 @@ QUERIES: dict[str, Query] = {
     "session_windows": session_windows,
     "stream_sessions": stream_sessions,
     "stream_features": stream_features,
+    "stream_basic_features": partial(live_features, kind="basic"),
+    "stream_enhanced_features": partial(live_features, kind="enhanced"),
     "stream_late_bars": stream_late_bars,
     "stream_scoring": stream_scoring,
+    "live_health": live_health,
+    "stream_snapshots": stream_snapshots,
 }

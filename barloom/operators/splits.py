@@ -12,12 +12,24 @@ DAY = 86_400
 
 def head(bars: DataFrame, rows: int, layout: Layout) -> DataFrame:
     """The first ``rows`` bars of each series."""
-    return positions(bars, layout).where(F.col("pos") < rows).drop("pos")
+    return _end(bars, rows, layout, first=True)
 
 
 def tail(bars: DataFrame, rows: int, layout: Layout) -> DataFrame:
     """The last ``rows`` bars of each series."""
-    return with_size(positions(bars, layout)).where(F.col("pos") >= F.col("size") - rows).drop("pos", "size")
+    return _end(bars, rows, layout, first=False)
+
+
+def _end(bars: DataFrame, rows: int, layout: Layout, *, first: bool) -> DataFrame:
+    """Counts per time slot tell which slots hold the end of a series; only their rows are put in order."""
+    slotted = bars.withColumn("_slot", F.expr(f"unix_seconds(ts) div {layout.slot_seconds}"))
+    outwards = (lambda c: F.asc(c)) if first else (lambda c: F.desc(c))
+    nearer = Window.partitionBy("series").orderBy(outwards("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = slotted.groupBy("series", "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    needed = counts.select("series", "_slot", F.coalesce(F.sum("_n").over(nearer), F.lit(0)).alias("_nearer")).where(F.col("_nearer") < rows)
+    inside = Window.partitionBy("series", "_slot").orderBy(outwards("ts"))
+    placed = slotted.join(needed, ["series", "_slot"]).withColumn("_number", F.row_number().over(inside) + F.col("_nearer"))
+    return placed.where(F.col("_number") <= rows).select(*bars.columns)
 
 
 def latest(bars: DataFrame) -> DataFrame:

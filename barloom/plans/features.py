@@ -160,7 +160,7 @@ def technical_table(
     if "obv" in wanted:
         rows, inputs = with_obv(rows, layout), [*inputs, "obv"]
     rows = with_rsi(rows, layout, rsi)
-    wide = over_chunks(rows, layout, before, max(spec.horizons), build, columns=inputs, heavy=True)
+    wide = over_chunks(rows, layout, before, max(spec.horizons, default=0), build, columns=inputs, heavy=True)
     ts = F.col("ts")
     scalars = {
         **technical.candle_columns(),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators.metrics import present
+from barloom.plans import live
 from barloom.session import prepare
 
 OHLCV_SCHEMA = T.StructType(
@@ -69,6 +70,23 @@ def write_quantiles(quantiles: DataFrame, path: str) -> None:
     quantiles.write.partitionBy("q").mode("overwrite").parquet(path)
 
 
-def write_documents(documents: DataFrame, path: str) -> None:
-    """Forecast documents as JSON lines."""
-    documents.select("document").write.mode("overwrite").text(path)
+def write_documents(documents: DataFrame, path: str, form: str = "json") -> None:
+    """Forecast documents as JSON lines, or as CSV with a row for each field; a folder for each series either way."""
+    if form == "json":
+        live.as_json(documents).select("series", "document").write.partitionBy("series").mode("overwrite").text(path)
+    elif form == "flat":
+        live.flattened(documents).write.partitionBy("series").option("header", True).mode("overwrite").csv(path)
+    else:
+        raise ValueError(f"documents are written as json or flat, not as {form}")
+
+
+def read_documents(spark: SparkSession, path: str, form: str = "json") -> DataFrame:
+    """Point forecasts and probabilities of stored documents: ``(series, ts, current_price, field, value)``."""
+    if form == "flat":
+        schema = "ts timestamp, current_price double, field string, value double, series string"
+        return prepare(spark).read.schema(schema).option("header", True).csv(path)
+    inner = "map<string,double>"
+    body = f"timestamp timestamp, current_price double, {live.POINT} {inner}, {live.PROBABILITY} map<string,{inner}>"
+    text = prepare(spark).read.schema("document string, series string").text(path)
+    told = text.select("series", F.from_json("document", body).alias("d")).select("series", F.col("d.timestamp").alias("ts"), "d.current_price", f"d.{live.POINT}", f"d.{live.PROBABILITY}")
+    return live.flattened(told)

@@ -54,3 +54,16 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
+def keep_progress(query: StreamingQuery, path: str) -> None:
+    """Adds a finished query's progress reports to a table: rows taken in and rows dropped as late, by micro-batch."""
+    spark = SparkSession.active()
+    rows = [
+        (p["batchId"], p["timestamp"], p["numInputRows"], sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"]))
+        for p in query.recentProgress
+        if p["numInputRows"]
+    ]
+    spark.createDataFrame(rows, "batch_id long, at string, input_rows long, late_rows long").write.mode("append").parquet(path)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("batch_id long, at string, input_rows long, late_rows long").parquet(path)

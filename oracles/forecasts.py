@@ -246,6 +246,14 @@ SELECT t.*, coalesce((SELECT sum(abs(confidence - accuracy) * count) FROM curve
         "bin_lower bin_upper confidence accuracy",
         "horizon",
     ),
+    "stored_documents": shaped(
+        f"""{WITH_LIVE}, {ASKED_LIVE}, {LAST}
+SELECT series, ts, form, close AS current_price, 'point_horizon_' || horizon || 'min' AS field, prediction AS value
+FROM ens JOIN last USING (series, ts), (SELECT unnest(['json', 'flat']) AS form)
+UNION ALL SELECT series, ts, form, close, 'prob_' || query || '_horizon_' || horizon || 'min', {PROBABILITY}
+FROM asked JOIN last USING (series, ts), (SELECT unnest(['json', 'flat']) AS form)""",
+        "current_price value",
+    ),
     "forecast_flat": shaped(
         f"""{WITH_LIVE}, {ASKED_LIVE}, {LAST}
 SELECT series, ts, close AS current_price, 'point_horizon_' || horizon || 'min' AS field, prediction AS value
