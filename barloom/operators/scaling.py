@@ -152,7 +152,7 @@ def group_quantiles(df: DataFrame, by: Sequence[str], column: str, quantiles: Se
     it. Only brackets of at most ``limit`` values are gathered, so no task ever holds a group. ``df`` is read once for each pass:
     hand in a stored table. Missing values do not count; groups without others, or with a NULL key, are left out.
     """
-    keys = list(by)
+    keys, limit = list(by), max(limit, 2)  # two neighbouring ranks may be wanted
     rows = df.select(*keys, F.col(column).cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("inside"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
     ranks = [F.struct(F.lit(k).alias("k"), F.lit(float(q)).alias("q"), (F.col("inside") - 1).alias("top")) for k, q in enumerate(quantiles)]

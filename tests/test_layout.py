@@ -4,7 +4,7 @@ import pytest
 from conftest import collected, same, walk
 from pyspark.sql import functions as F
 
-from barloom.operators import quality, splits
+from barloom.operators import layout, quality, sessions, splits
 from barloom.operators.layout import Layout, attach, over_chunks, positions, running_totals, with_previous
 from barloom.plans import features
 
@@ -102,3 +102,39 @@ def test_no_window_covers_a_whole_series(bars):
     main = [line for line in plan.splitlines() if "hashpartitioning(series#" in line and "close" in line]
     assert all("_chunk" in line or "_slot" in line for line in main)
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_function_over_rows_does_not_depend_on_chunks(spark):
+    bars = pd.concat([walk(500, 1, "a"), walk(37, 2, "b")], ignore_index=True)
+
+    def last_minus_next(chunk):
+        return pd.DataFrame({"d": chunk.close.rolling(20).mean() - chunk.close.shift(-3), "n": chunk.pos + 1})
+
+    expected = bars.sort_values(["series", "ts"], ignore_index=True)
+    d = expected.groupby("series").close.transform(lambda c: c.rolling(20).mean() - c.shift(-3))
+    for rows in (25, 64, 4096):
+        got = collected(layout.map_rows(spark.createDataFrame(bars), layout.Layout(60, rows), 19, 3, last_minus_next, "d double, n bigint", columns=["series", "ts", "close"]))
+        same(got.d, d)
+        assert got.n.tolist() == (expected.groupby("series").cumcount() + 1).tolist()
+    with pytest.raises(Exception, match="returned 1 rows"):
+        layout.map_rows(spark.createDataFrame(bars), layout.Layout(60, 64), 1, 0, lambda c: c[["pos"]].head(1), "pos bigint").count()
+
+
+@pytest.mark.parametrize("rows", [3, 4096])
+def test_ends_of_series(spark, rows):
+    bars = pd.concat([walk(50, 1, "a"), walk(4, 2, "b")], ignore_index=True)
+    df = spark.createDataFrame(bars)
+    for n in (1, 7, 60):
+        assert collected(splits.tail(df, n, layout.Layout(60, rows))).equals(bars.groupby("series").tail(n).reset_index(drop=True))
+        assert collected(splits.head(df, n, layout.Layout(60, rows))).equals(bars.groupby("series").head(n).reset_index(drop=True))
+
+
+@pytest.mark.parametrize("rows", [2, 4096])
+def test_sessions_end_at_gaps(spark, rows):
+    seconds = [0, 10, 10, 40, 71, 300, 330, 1000]  # a gap of exactly 30 seconds still joins
+    stamps = pd.Timestamp("2024-01-01") + pd.to_timedelta(seconds, unit="s")
+    ticks = spark.createDataFrame(pd.DataFrame({"series": "a", "ts": stamps, "price": [float(s) for s in seconds], "volume": 1.0}))
+    got = collected(sessions.sessions(ticks, 30, layout.Layout(1, rows)), ["series", "start_ts"])
+    assert got.ticks.tolist() == [4, 1, 2, 1] and got.high.tolist() == [40.0, 71.0, 330.0, 1000.0]
+    spark_own = ticks.groupBy("series", F.session_window("ts", "30 seconds")).agg(F.count("*").alias("n")).select("session_window.*", "n").orderBy("start").toPandas()
+    assert spark_own.n.tolist() == got.ticks.tolist() and spark_own.end.tolist() == got.end_ts.tolist()

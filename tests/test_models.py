@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import collected, walk
 from pyspark.sql import functions as F
@@ -179,3 +180,48 @@ def test_boosting_of_few_and_no_rows(spark, parts):
     one = models.fit(parts[0].limit(30), SPEC, "boosting", {"rounds": 2})
     assert all(t.leaves == 1 for trees in one.trees for t in trees)
     assert models.fit(parts[0].limit(0), SPEC, "boosting", {"rounds": 2}).trees == ((), ())
+
+
+def test_resamples_weigh_rows_like_draws(spark, parts):
+    train, test = parts
+    keyed = train.select("series", "ts", models.poisson_weights(probability.draw_key(42, F.col("series"), F.unix_seconds("ts")), 40).alias("w"))
+    w = np.stack(collected(keyed).w)
+    assert abs(w.mean() - 1) < 0.02 and abs(w.var() - 1) < 0.05 and len({tuple(x) for x in w.T}) == 40
+    fitted = models.ridge_bootstrap(train, SPEC, resamples=40)
+    t, e = collected(train), collected(test)
+    cols = list(SPEC.features)
+    mid, width = t[cols].median(), t[cols].quantile(0.75) - t[cols].quantile(0.25)
+    x, z, y = ((t[cols] - mid) / width).to_numpy(), ((e[cols] - mid) / width).to_numpy(), t.target_5.to_numpy()
+    found = []
+    for k in range(40):
+        n = w[:, k]
+        mx, my = (n @ x) / n.sum(), (n @ y) / n.sum()
+        weights = np.linalg.solve((x - mx).T @ ((x - mx) * n[:, None]) + np.eye(len(cols)), (x - mx).T @ (n * (y - my)))
+        found.append((z - mx) @ weights + my)
+    got = collected(fitted.members(test, ["close"]).where("horizon = 5"))
+    assert np.allclose(np.stack(got.members), np.sort(np.array(found).T, axis=1), atol=1e-6) and "close" in got
+
+
+def test_scores_from_sums_are_those_of_single_fits(spark, table):
+    hourly = pd.concat([walk(24 * 12, 4, "a", freq="h"), walk(24 * 11, 5, "b", freq="h")], ignore_index=True)
+    rows = features.clean_rows(features.simple_features(spark.createDataFrame(hourly), LAYOUT), features.simple_spec()).persist()
+
+    def fit_one(train):
+        return models.fit(train, SPEC, "linear")
+
+    one = models.rolling_validation(rows, fit_one, min_train_rows=100).toPandas()
+    both = models.rolling_scores(rows, SPEC, min_train_rows=100, alpha=0.0).toPandas()
+    keys = ["split", "horizon"]
+    one, both = (d.sort_values(keys, ignore_index=True) for d in (one, both))
+    same_columns = ["split", "horizon", "train_start", "test_end", "train_samples", "test_samples"]
+    assert both[same_columns].equals(one[same_columns].astype(both[same_columns].dtypes.to_dict()))
+    assert np.allclose(both[["rmse", "mae", "mape"]], one[["rmse", "mae", "mape"]], rtol=1e-4)
+    ahead = models.walk_forward(table, fit_one, LAYOUT, n_splits=2).toPandas().sort_values(keys)
+    sums = models.walk_forward_scores(table, SPEC, LAYOUT, n_splits=2).toPandas().sort_values(keys)
+    assert np.allclose(sums[["rmse", "mae", "mape"]], ahead[["rmse", "mae", "mape"]], rtol=1e-4)
+    assert sums.train_samples.tolist() == ahead.train_samples.tolist()
+
+
+def test_scores_of_too_short_a_table(spark, table):
+    assert models.rolling_scores(table, SPEC).count() == 0  # a day of minutes
+    assert models.rolling_scores(table.limit(0), SPEC).count() == 0

@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import walk
+from conftest import collected, walk
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -165,3 +165,39 @@ def test_leaderboard_breaks_ties_by_first_row(spark):
 
 def test_walk_is_usable():
     assert (walk(50).high >= walk(50).low).all()
+
+
+@pytest.mark.parametrize("limit", [20, 10_000])
+def test_quantiles_by_group(spark, limit):
+    rng = np.random.default_rng(1)
+    rows = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 4000, p=[0.9, 0.08, 0.02]), "h": rng.integers(0, 2, 4000), "x": rng.normal(size=4000).round(2)})
+    rows.loc[rows.g == "b", "x"] = rng.choice([1.0, 2.0, 5.5], (rows.g == "b").sum())  # mostly ties
+    rows.loc[rng.random(4000) < 0.02, "x"] = np.nan
+    levels = (0.0, 0.05, 0.5, 0.77, 1.0)
+    got = scaling.group_quantiles(spark.createDataFrame(rows), ["g", "h"], "x", levels, limit=limit).toPandas()
+    expected = rows.dropna().groupby(["g", "h"]).x.quantile(levels).unstack()
+    for r in got.itertuples():
+        assert np.allclose(r.quantiles, expected.loc[(r.g, r.h)])
+    assert len(got) == len(expected)
+
+
+def test_quantiles_of_no_rows(spark):
+    none = spark.createDataFrame([("a", None), (None, 1.0)], "g string, x double")
+    assert scaling.group_quantiles(none.where("x is null"), ["g"], "x", [0.5]).count() == 0
+
+
+def test_draws_are_repeatable_and_follow_their_distribution(spark):
+    members = sorted(np.random.default_rng(2).normal(100, 3, 20))
+    hours = spark.range(60).select(F.lit("a").alias("series"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"), F.lit(1).alias("horizon"))
+    df = hours.withColumns({"close": F.lit(100.0), "actual": F.lit(100.0), "members": F.array(*map(F.lit, map(float, members)))})
+    drawn = collected(probability.sampled_probabilities(df), ["series", "ts", "query"])
+    again = collected(probability.sampled_probabilities(df.repartition(7)), ["series", "ts", "query"])
+    assert drawn.probability.equals(again.probability)
+    exact = collected(probability.relative_probabilities(df), ["series", "ts", "query"])
+    # 60 rows of 1 000 independent draws
+    mean = drawn.groupby("query").probability.mean()
+    for q, p in exact.groupby("query").probability.mean().items():
+        assert abs(mean[q] - p) < 5 * np.sqrt(max(p * (1 - p), 1e-4) / 60_000)
+    told = probability.sampled_distribution(df, draws=500).toPandas()
+    assert (told.low >= members[0]).all() and (told.high <= members[-1]).all() and told["mean"].nunique() == 60
+    assert set(probability.sampled_distribution(df, draws=500, seed=7).toPandas()["mean"]).isdisjoint(told["mean"])

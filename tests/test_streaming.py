@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.layout import Layout
 from barloom.plans import features, live, models
+from barloom.streaming import features as live_features
 from barloom.streaming import intake, scoring, stateful
 
 LAYOUT = Layout(60, 4096)
@@ -103,3 +104,42 @@ def test_sliding_windows_match_batch(spark, tmp_path):
     joined = got.join(batch, "start_ts")
     assert joined.count() == got.count() > 10
     assert joined.where("abs(mean - expected) > 1e-9").count() == 0
+
+
+def test_whole_feature_sets_behind_a_history(spark):
+    """Bars in three parts, a stretch of one close longer than the history, and one late bar."""
+    whole = walk(1000, 6)
+    whole.loc[60:950, ["open", "high", "low", "close"]] = whole.close[60]
+    known = spark.createDataFrame([], live_features.STATE)
+    parts = [whole.iloc[:70], whole.iloc[70:955], pd.concat([whole.iloc[955:], whole.iloc[[10]].assign(close=1.0)])]
+    seen = []
+    for part in parts:
+        found, known = live_features.featured(known, spark.createDataFrame(part), LAYOUT, "enhanced")
+        seen.append(found.toPandas())
+    assert known.count() == live_features.HISTORY_ROWS < 955
+    got = pd.concat(seen, ignore_index=True)
+    assert got[got.late].close.tolist() == [1.0] and got[got.late].rsi.isna().all()
+    got = got[~got.late].sort_values("ts", ignore_index=True)
+    expected = collected(features.enhanced_features(spark.createDataFrame(whole), LAYOUT, ()))
+    for c in features.enhanced_spec(()).features:
+        same(got[c], expected[c], 1e-6)
+
+
+def test_idle_series_leave_the_state(spark, tmp_path):
+    old, new = walk(30, 1, "old", "2024-01-01"), walk(30, 2, "new", "2024-03-01")
+    stream = delivered(spark, tmp_path / "in", [old, new])
+    live_features.feature_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), LAYOUT, kind="simple").awaitTermination()
+    got = live_features.read_features(spark, str(tmp_path / "out"), "simple")
+    assert got.count() == 60
+    state = spark.read.schema(live_features.STATE).parquet(str(tmp_path / "out/state/batch_id=1"))
+    assert {r.series for r in state.select("series").distinct().collect()} == {"new"}
+
+
+def test_stream_sessions_merge(spark, tmp_path):
+    def ticks(*seconds):
+        return pd.DataFrame({"series": "a", "ts": [pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=s) for s in seconds], "price": 1.0, "volume": 1.0})
+
+    # the second delivery joins two sessions of the first
+    stream = delivered(spark, tmp_path / "in", [ticks(0, 50), ticks(25), ticks(5000), ticks(9000)])
+    got = collected(intake.drain(intake.sessions(stream, "30 seconds"), "sessions"), ["series", "start_ts"])
+    assert got.ticks.tolist()[:1] == [3]
