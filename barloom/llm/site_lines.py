@@ -6,7 +6,7 @@ threshold get exact distinct counts. The earliest occurrence of a boilerplate li
 stays and all others go, so a passage that many sites copied is not lost.
 
 Null texts stay null and have no lines; a null site counts for nothing. Blank lines are left alone, and so are lines of
-fewer than ``words`` words: none, unless the caller asks for it, as the query does, whose SQL has three words. Rows with a null doc_id come first. Repeated rows are one document. All other columns are kept as
+fewer than ``words`` words: none, unless the caller asks for it. Rows with a null doc_id come first. Repeated rows are one document. All other columns are kept as
 they are, whatever their names. An empty table gives no rows. Lines are known by 128-bit hashes.
 """
 
@@ -19,8 +19,8 @@ from barloom.llm.common import SPACE, documents
 from barloom.session import materialized
 
 SITES = 10
-#: Least words of a line in the query, as in its SQL.
-WORDS = 3
+#: Least words of a line in the query, as in its SQL: every line that isn't blank.
+WORDS = 1
 #: 2^8 registers: a standard error of 6.5 per cent, so a quarter is about four of them.
 LG_K = 8
 NEAR = 0.25

@@ -43,7 +43,7 @@ def test_lines(stages):
     sites, first = {}, {}
     for doc_id, text, source in rows:
         for i, line in enumerate(text.split("\n")):
-            if len(line.split()) >= 3:
+            if len(line.split()) >= 1:
                 sites.setdefault(line, set()).add(source)
                 first.setdefault(line, (doc_id, i))
     want = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if len(sites.get(x, ())) < 10 or first[x] == (d, i)) for d, t, _ in rows}
