@@ -107,16 +107,16 @@ def test_sliding_windows_match_batch(spark, tmp_path):
 
 
 def test_whole_feature_sets_behind_a_history(spark):
-    """Bars in three parts, a stretch of one close longer than the history, and one late bar."""
-    whole = walk(1000, 6)
-    whole.loc[60:950, ["open", "high", "low", "close"]] = whole.close[60]
+    """A stretch of one close longer than the history, and one late bar."""
+    whole = walk(1600, 6)
+    whole.loc[60:1550, ["open", "high", "low", "close"]] = whole.close[60]
     known = spark.createDataFrame([], live_features.STATE)
-    parts = [whole.iloc[:70], whole.iloc[70:955], pd.concat([whole.iloc[955:], whole.iloc[[10]].assign(close=1.0)])]
+    parts = [whole.iloc[:1500], pd.concat([whole.iloc[1500:], whole.iloc[[10]].assign(close=1.0)])]
     seen = []
     for part in parts:
         found, known = live_features.featured(known, spark.createDataFrame(part), LAYOUT, "enhanced")
         seen.append(found.toPandas())
-    assert known.count() == live_features.HISTORY_ROWS < 955
+    assert known.count() == live_features.HISTORY_ROWS < 1440
     got = pd.concat(seen, ignore_index=True)
     assert got[got.late].close.tolist() == [1.0] and got[got.late].rsi.isna().all()
     got = got[~got.late].sort_values("ts", ignore_index=True)
