@@ -49,6 +49,7 @@ FROM test CROSS JOIN {EACH} GROUP BY horizon""",
         "",
         "horizon trees rises rows off",
     ),
+    "stored_features": f"""SELECT 'linear' AS kind, CAST(i AS BIGINT) AS position, ([{FEATURES}])[i + 1] AS feature FROM range({len(SIMPLE)}) t(i)""",
     "importance_check": shaped(f"SELECT horizon, 1.0 AS total, 0 AS negative FROM {EACH}", "total", "horizon negative"),
     "normal_equations": shaped(
         f"SELECT kind, horizon, feature, 0.0 AS gradient FROM (SELECT unnest(['linear', 'ridge']) AS kind), {EACH}, (SELECT unnest([{FEATURES}]) AS feature)",
