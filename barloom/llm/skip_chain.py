@@ -1,24 +1,31 @@
 """Operator 1: personal data by patterns and a skip-chain conditional random field.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers (the base spans, which always stay). The field then labels
-every word that has a digit or an @ sign: neighbouring words are linked in a chain, and so are the successive words of one
-document that are equal (without punctuation and case) or end in the same seven digits, however far apart. Loopy
-message passing over both kinds of links, until a document's own messages are still, makes labels consistent in each document, so a number seen once with its country code
-is found where it stands without. Words of base spans are evidence. A word that the field gives a kind with a probability
-of at least ``SURE`` becomes a span, if it touches no base span.
+every word that has a digit or an @ sign. Neighbouring words are linked in a chain. Skip links join words of one document, however
+far apart, that are equal (without outer punctuation and case), or after which the last seven digits, counted over neighbouring
+words, are the same: a repeat is linked to the nearest base span of its key, repeats without one to each other in turn. Loopy
+message passing over both kinds of links makes labels consistent in each document, so a number seen once with its country code is
+found where it stands without, and is not found where nothing in its document says what it is. Words of base spans are evidence.
+A word that the field gives a kind with a probability of at least ``SURE`` becomes a span, if it touches no base span. Equal
+words of under seven digits and without an @ sign say too little to be linked to a base span.
 
 Weights are trained by pseudo-likelihood on the base labels of all documents: Spark counts how often each combination of a word's
-features and its neighbours' labels occurs with each label. Features are a fixed set of yes-or-no questions, so the table of
-counts, and what the driver fits, is bounded however many documents there are.
+features and its neighbours' labels occurs with each label. Unlabelled words that are linked to a base span are left out, as theirs is
+the question. To answer it, each base word with seven digits is also shown in a form that the patterns miss, without its own
+span: with a link to a base word it has its kind, and without one it is an ordinary word. Features are a fixed set of
+yes-or-no questions, so the table of counts, and what the driver fits, is bounded however many documents there are.
 
 Null texts count as empty and have no spans. Texts are read whole, in linear time. Equal rows get equal results. An empty table
-gives no rows; without any word to learn from, the weights are 0 and nothing is added.
+gives no rows; without any word to learn from, the weights are 0 and nothing is added. Labels of equal probability: the first kind.
+Of two base spans as near, the earlier one is linked. ``masked`` keeps all columns; ``found`` calls its own ``base`` and ``more``,
+and drops columns of these names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -117,7 +124,7 @@ BITS = 16
 
 @dataclass
 class Words:
-    """The words of many documents, their links and their labels by the base spans."""
+    """The words of many documents, their links and labels by the base spans; for training the span and the features of a form that patterns miss (or -1)."""
 
     doc: np.ndarray
     begin: np.ndarray
@@ -126,54 +133,102 @@ class Words:
     label: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    span: np.ndarray | None = None
+    hidden: np.ndarray | None = None
+
+
+def hidden_form(word: str) -> int:
+    """Features of a base word as it may be restated: without its plus sign, or the end of it that no pattern matches; -1 if that has too few digits."""
+    form = word.lstrip("+")
+    while base_spans(form):
+        form = form[len(form) // 2 :]
+    return features(form) if digits_of(form) and (form != word or not base_spans(word)) else -1
+
+
+def skip_links(keys: dict[str, list[int]], label: list[int]) -> set[tuple[int, int]]:
+    """Links of the words of one document by their keys; those that begin with w are too weak to say what a word is."""
+    out: set[tuple[int, int]] = set()
+    for key, at in keys.items():
+        known = [i for i in at if label[i] != OTHER]
+        unknown = [i for i in at if label[i] == OTHER]
+        if known and unknown and key[0] != "w":
+            for i in unknown:
+                k = bisect(known, i)
+                out.add(tuple(sorted((i, min(known[max(k - 1, 0) : k + 1], key=lambda j: (abs(i - j), j))))))
+        else:
+            out.update(zip(unknown, unknown[1:]))
+        out.update(zip(known, known[1:]))
+    return out
 
 
-def read(texts: list[str], base: list[list[Span]]) -> Words:
-    rows: list[tuple[int, int, int, int, int]] = []
+def read(texts: list[str], base: list[list[Span]], train: bool = False) -> Words:
+    rows: list[tuple[int, ...]] = []
     chain: list[tuple[int, int]] = []
     skip: list[tuple[int, int]] = []
+    label: list[int] = []
     for d, text in enumerate(texts):
-        seen: dict[str, int] = {}
+        keys: dict[str, list[int]] = {}
         spans = sorted((a, b, k) for k, a, b in base[d])
-        k = 0
+        k, tail = 0, ""
         for begin, end in tokens(text):
             while k < len(spans) and spans[k][1] <= begin:
                 k += 1
-            label = next((kind for a, b, kind in spans[k : k + 4] if a < end and b > begin), OTHER)
+            own = next((x for x in range(k, min(k + 4, len(spans))) if spans[x][0] < end and spans[x][1] > begin), -1)
             word, i = text[begin:end], len(rows)
             if rows and rows[-1][0] == d and (end_ := rows[-1][2]) <= begin and not text[end_:begin].strip(" \t\n\x0b\f\r"):
                 chain.append((i - 1, i))
+            else:
+                tail = ""
             digits = digits_of(word)
-            keys = {"w" + "".join(filter(str.isalnum, word)).lower()}
-            if len(digits) >= 7:
-                keys.add("d" + digits[-7:])
-            before = {seen[x] for x in keys if x in seen}
-            skip.extend((j, i) for j in sorted(before))
-            seen.update(dict.fromkeys(keys, i))
-            rows.append((d, begin, end, features(word), label))
-    table = np.array(rows, np.int64).reshape(-1, 5)
-    return Words(*table.T, *(np.array(x, np.int64).reshape(-1, 2) for x in (chain, skip)))
-
-
-def neighbour_counts(w: Words) -> np.ndarray:
-    """For every word how many chain and skip neighbours (2 at most of each counted apart) have each label."""
+            tail = (tail + digits)[-7:]
+            full = len(tail) == 7 and digits != ""
+            if len(digits) < 7:
+                keys.setdefault(("e" if "@" in word else "w") + word.strip(".,;:!?\"'()[]<>").lower(), []).append(i)
+            if full:
+                keys.setdefault("d" + tail, []).append(i)
+            label.append(spans[own][2] if own >= 0 else OTHER)
+            rows.append((d, begin, end, features(word), label[i], own, hidden_form(word) if train and full and own >= 0 else -1))
+        skip.extend(sorted(skip_links(keys, label)))
+    table = np.array(rows, np.int64).reshape(-1, 7)
+    return Words(*table.T[:5], *(np.array(x, np.int64).reshape(-1, 2) for x in (chain, skip)), *table.T[5:])
+
+
+def neighbour_counts(w: Words, links: list[np.ndarray], seen: np.ndarray) -> np.ndarray:
+    """For every word how many neighbours that are seen (3 at most) have each label, by each of two kinds of links."""
     out = np.zeros((len(w.doc), 2, LABELS), np.int64)
-    for k, links in enumerate((w.chain, w.skip)):
-        np.add.at(out, (links[:, 0], k, w.label[links[:, 1]]), 1)
-        np.add.at(out, (links[:, 1], k, w.label[links[:, 0]]), 1)
+    for k, own in enumerate(links):
+        for a, b in (own.T, own.T[::-1]):
+            on = seen[b]
+            np.add.at(out, (a[on], k, w.label[b[on]]), 1)
     return np.minimum(out, 3)
 
 
+def examples(w: Words) -> np.ndarray:
+    """Rows of code, near (neighbours' labels, two bits a count) and label to train on."""
+    a, b = w.skip.T
+    asked = np.zeros(len(w.doc), bool)
+    asked[a[(w.label[a] == OTHER) & (w.label[b] != OTHER)]] = True
+    asked[b[(w.label[b] == OTHER) & (w.label[a] != OTHER)]] = True
+    packed = lambda near: (near.reshape(-1, 2 * LABELS) << 2 * np.arange(2 * LABELS)).sum(1)
+    plain = np.stack([w.code, packed(neighbour_counts(w, [w.chain, w.skip], ~asked)), w.label], 1)[~asked]
+    x, y = w.chain.T
+    outside = w.chain[(w.span[x] < 0) | (w.span[x] != w.span[y])]
+    shown = np.flatnonzero(w.hidden >= 0)
+    near = neighbour_counts(w, [outside, w.skip[:0]], ~asked)[shown]
+    without = np.stack([w.hidden[shown], packed(near), np.full(len(shown), OTHER)], 1)
+    near[np.arange(len(shown)), 1, w.label[shown]] = 1
+    linked = np.stack([w.hidden[shown], packed(near), w.label[shown]], 1)
+    return np.concatenate([plain, without, linked])
+
+
 def observations(docs: DataFrame) -> DataFrame:
-    """code, near (neighbours' labels, two bits a count), label, n."""
+    """code, near, label, n: how often each example occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in slices(batch, "text"):
                 texts = [t or "" for t in texts]
-                w = read(texts, [base_spans(t) for t in texts])
-                near = (neighbour_counts(w).reshape(-1, 2 * LABELS) << 2 * np.arange(2 * LABELS)).sum(1)
-                rows, n = np.unique(np.stack([w.code, near, w.label], 1), axis=0, return_counts=True)
+                rows, n = np.unique(examples(read(texts, [base_spans(t) for t in texts], True)), axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in rows.reshape(-1, 3).T), pa.array(n)], ["code", "near", "label", "n"])
 
     return docs.select("text").mapInArrow(run, "code long, near long, label long, n long").groupBy("code", "near", "label").agg(F.sum("n").alias("n"))
@@ -203,20 +258,26 @@ class Field:
         weight, doc = np.exp(weight), w.doc[source]
         message = np.zeros((len(source), LABELS))
         belief = unary.copy()
-        # a damped message moves a link in two rounds or so: a document whose loops never settle ends at many more than it has words
+        order = np.argsort(source, kind="stable")
+        first = np.searchsorted(source[order], np.arange(len(w.doc) + 1))
+        # a document whose loops never settle ends at many more rounds than it has words
         most = 100 + 4 * np.bincount(w.doc)
         on, rounds = np.arange(len(source)), 0
         while len(on):
             out = normal(belief[source[on]] - message[back[on]])
             new = normal(np.log(np.einsum("el,elk->ek", np.exp(out), weight[on]) + 1e-300))
-            moved = np.abs(new - message[on]).max(1) >= STILL
-            message[on] = DAMPING * message[on] + (1 - DAMPING) * new
-            belief[target[on]] = unary[target[on]]
-            np.add.at(belief, target[on], message[on])
+            step = new - message[on]
+            moved = np.abs(step).max(1) >= STILL
+            message[on] += (1 - DAMPING) * step
+            np.add.at(belief, target[on], (1 - DAMPING) * step)
             rounds += 1
-            going = np.zeros(len(most), bool)
-            going[doc[on[moved]]] = True
-            on = on[(going & (rounds < most))[doc[on]]]
+            # a message is still once it and all that go into it are
+            on = on[moved]
+            heard = np.unique(target[on])
+            n = first[heard + 1] - first[heard]
+            after = order[np.repeat(first[heard] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            on = np.union1d(on, after)
+            on = on[rounds < most[doc[on]]]
         return np.exp(normal(belief))
 
 
@@ -277,6 +338,7 @@ def added(texts: list[str], base: list[list[Span]], field: Field) -> list[list[S
 def found(docs: DataFrame, field: Field) -> DataFrame:
     """Adds base (array of kind, begin, end) and more (what the field adds) to the documents."""
     sent = docs.sparkSession.sparkContext.broadcast(field)
+    docs = docs.drop("base", "more")
     kind = "array<struct<kind:int,begin:int,end:int>>"
     shape = docs.select("*", F.array().cast(kind).alias("base"), F.array().cast(kind).alias("more")).schema
     arrow = pa.list_(pa.struct([("kind", pa.int32()), ("begin", pa.int32()), ("end", pa.int32())]))

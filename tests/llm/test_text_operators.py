@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -101,14 +102,52 @@ def test_personal_data(spark, small):
         assert [got[f"n_{k}"][doc_id] for k in skip_chain.KINDS] == [sum(s[0] == k for s in base) for k in range(4)]
 
 
-def test_field_carries_labels_along_skip_links(spark):
-    field = skip_chain.fitted(spark.read.parquet(f"{DATA}/sf0.01/documents.parquet"))
-    text = "call +1 (829) 555-7292 today. " + "word " * 300 + "or 829 555-7292, in room 2024"
-    added = skip_chain.added([text], [skip_chain.base_spans(text)], field)[0]
-    assert [(skip_chain.KINDS[k], text[a:b]) for k, a, b in added] == [("phone", "829 555-7292")]
+@pytest.fixture(scope="module")
+def personal_field(spark):
+    return skip_chain.fitted(spark.read.parquet(f"{DATA}/sf0.01/documents.parquet"))
+
+
+def added_words(field, text: str) -> list[tuple[str, str]]:
+    return [(skip_chain.KINDS[k], text[a:b]) for k, a, b in skip_chain.added([text], [skip_chain.base_spans(text)], field)[0]]
+
+
+@pytest.mark.parametrize("kind, evidence, restated", [
+    ("phone", "+1 829-555-7292", "829-555-7292"), ("phone", "+1 829-555-7292", "829 555-7292"), ("phone", "+18295557292", "8295557292"),
+    ("phone", "+1 (829) 555-7292", "829 555-7292"), ("phone", "+44 20 7946 0958", "020 7946 0958"), ("card", "4111 1111 1111 1111", "1111-1111"),
+])
+def test_restatements_are_found_by_evidence_alone(personal_field, kind, evidence, restated):
+    far = "and " * 500
+    assert added_words(personal_field, f"call {evidence} now {far} or {restated} in 2021") == [(kind, restated)]
+    assert added_words(personal_field, f"call {restated} now {far} or {evidence} in 2021") == [(kind, restated)]
+    assert added_words(personal_field, f"call us now {far} or {restated} in 2021") == []
+    assert added_words(personal_field, f"call +7 12 3456 78901 now {far} or {restated} in 2021") == []
+
+
+def test_links_join_repeats_to_the_nearest_evidence(personal_field):
+    text = "1234567 " + "x +1 829-555-7292 y 829-555-7292 z 829-555-7292 x +1 829-555-7292 " + "w 829-555-7292 " + "a 2021 b 2021 1234567"
+    w = skip_chain.read([text], [skip_chain.base_spans(text)])
+    words = [text[a:b] for a, b in zip(w.begin, w.end, strict=True)]
+    assert words == ["1234567", "+1", "829-555-7292", "829-555-7292", "829-555-7292", "+1", "829-555-7292", "829-555-7292", "2021", "2021", "1234567"]
+    assert set(map(tuple, w.skip.tolist())) == {(1, 5), (2, 3), (2, 4), (2, 6), (6, 7), (8, 9), (0, 10)}
+
+
+def test_many_repeats_take_linear_time(personal_field):
+    text = "call +1 829-555-7292 " + "and 829-555-7292 " * 20_000
+    begin = time.monotonic()
+    assert added_words(personal_field, text) == [("phone", "829-555-7292")] * 20_000
+    assert time.monotonic() - begin < 30
+
+
+def test_spans_replaced():
     assert skip_chain.replaced("a 1.2.3.4 b", [(1, 2, 9)]) == "a <IP> b"
 
 
+def test_found_replaces_columns_of_its_names(spark, personal_field):
+    rows = spark.createDataFrame([(1, "to a@b.cd", 5, 6), (2, None, None, None)], "doc_id long, text string, base int, more int")
+    got = {r.doc_id: ([tuple(s) for s in r.base], r.more) for r in skip_chain.found(rows, personal_field).collect()}
+    assert got == {1: ([(0, 3, 9)], []), 2: ([], [])}
+
+
 def test_messages_agree_with_enumeration():
     """On a tree message passing is exact: compare with all labellings."""
     rng = np.random.default_rng(3)
