@@ -7,8 +7,10 @@ histograms that Spark sums: each pass narrows every node's cut to one of ``BINS`
 nothing. Ties within a dimension are ordered by a hash, so any node can be cut. The tree is a nested conditional
 expression. The driver sees nodes x bins numbers.
 
-Equal texts take the place of their first document and so stay together, unless they weigh more than a sixteenth of a shard:
-such a group is dealt by document, or shards could not be near equal.
+Equal texts stay together. A group takes the place of its first document in the tree; one that weighs more than a sixteenth of a
+shard, too much for a cut to pass beside it, is given a shard beforehand (heaviest first, where least room is left), and the tree
+deals the other documents into the room around it. There are at most 16 such groups a shard. Only what fits in no shard, as
+it is heavier than a whole one or no room is left, is dealt by document, or shards could not be near equal.
 
 Size is the UTF-8 length of the text plus 8; a null text has length 0. Null metadata take the lowest place of their
 dimension. Repeated rows are rows of their own. An empty table gives no rows.
@@ -26,7 +28,8 @@ SHARDS = 24
 BINS = 1024
 #: A cut is good enough where the bin it lies in holds this part of a shard.
 CLOSE = 1 / 1000
-TOGETHER = 1 / 16
+#: Groups above this part of a shard are given one.
+HEAVY = 1 / 16
 #: Documents numbered by one task.
 NUMBERED = 100_000
 TIE_BITS = 40
@@ -41,15 +44,39 @@ def weighed(docs: DataFrame) -> DataFrame:
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("g1"), F.xxhash64(text, F.lit(9)).alias("g2"), m.alias("m"))
 
 
-def placed(docs: DataFrame, shards: int) -> DataFrame:
-    """doc_id, rid, size, text_crc32 and c0 to c3: places on each axis, as whole numbers with ties broken."""
+def pinned(weights: list[int], shards: int, room: float) -> tuple[list[int | None], list[int]]:
+    """For weights in falling order the shard that each is given (None: it fits in none), and what each shard then holds."""
+    held = [0] * shards
+    out: list[int | None] = []
+    for w in weights:
+        k = min((k for k in range(shards) if held[k] + w <= room), key=lambda k: (-held[k], k), default=None)
+        out.append(k)
+        if k is not None:
+            held[k] += w
+    return out, held
+
+
+def placed(docs: DataFrame, shards: int) -> tuple[DataFrame, list[int]]:
+    """doc_id, rid, size, text_crc32, given (a shard, or null) and c0 to c3: places on each axis, as whole numbers with ties
+    broken. Then what the shards are given."""
     rows = materialized(weighed(docs), "weighed")
     dims = [f"d{k}" for k in range(4)]
     total = rows.agg(F.sum("size").alias("size"), *(F.struct(F.min(f"m.{d}").alias("lo"), F.max(f"m.{d}").alias("hi")).alias(d) for d in dims)).first()
-    most = (total["size"] or 0) / shards * TOGETHER
+    room = (total["size"] or 0) / shards
     groups = rows.groupBy("g1", "g2").agg(F.sum("size").alias("together"), F.min(F.struct("doc_id", "rid", "m")).alias("first"), F.count("*").alias("n"))
-    groups = groups.filter((F.col("n") > 1) & (F.col("together") <= most)).select("g1", "g2", F.col("first.m").alias("own"))
-    joined = rows.join(groups, ["g1", "g2"], "left")
+    groups = materialized(groups.filter("n > 1").select("g1", "g2", "together", F.col("first.m").alias("own")), "groups")
+    heavy = groups.filter(F.col("together") > room * HEAVY).select("together", "g1", "g2").orderBy(F.desc("together"), "g1", "g2").collect()
+    shard, held = pinned([g.together for g in heavy], shards, room)
+    # rows of heavy groups, at most shards / HEAVY of them, are known by a small broadcast table and spread over the tasks of the join
+    if heavy:
+        values = ", ".join(f"({g.g1}L, {g.g2}L, {'NULL' if k is None else k})" for g, k in zip(heavy, shard, strict=True)).replace("-9223372036854775808L", "(-9223372036854775807L - 1L)")
+        names = docs.sparkSession.sql(f"SELECT h1 AS g1, h2 AS g2, CAST(given AS INT) AS given, true AS heavy FROM VALUES {values} AS t(h1, h2, given)")
+        rows = rows.join(F.broadcast(names), ["g1", "g2"], "left")
+    else:
+        rows = rows.select("*", F.lit(None).cast("int").alias("given"), F.lit(None).cast("boolean").alias("heavy"))
+    rows = rows.withColumn("salt", F.when(F.col("heavy"), F.col("rid")).otherwise(F.lit(0)))
+    light = groups.filter(F.col("together") <= room * HEAVY).select("g1", "g2", F.lit(0).cast("long").alias("salt"), "own")
+    joined = rows.join(light, ["g1", "g2", "salt"], "left")
     grouped = F.col("own").isNotNull()
     tie = F.shiftrightunsigned(F.when(grouped, F.xxhash64("g1", "g2")).otherwise(F.xxhash64("rid")), 64 - TIE_BITS)
 
@@ -59,7 +86,8 @@ def placed(docs: DataFrame, shards: int) -> DataFrame:
         part = (v - F.lit(lo)) / F.lit((hi - lo) or 1.0) if lo is not None else F.lit(0.0)
         return F.least((part * ((1 << 21) - 1)).cast("long"), F.lit((1 << 21) - 1)) * (1 << TIE_BITS) + tie
 
-    return materialized(joined.select("doc_id", "rid", "size", "text_crc32", *(axis(d).alias(f"c{k}") for k, d in enumerate(dims))), "places")
+    places = joined.select("doc_id", "rid", "size", "text_crc32", "given", *(axis(d).alias(f"c{k}") for k, d in enumerate(dims)))
+    return materialized(places, "places"), held
 
 
 class Node:
@@ -81,8 +109,9 @@ class Node:
         return F.when(F.col(f"c{self.axis}") < self.cut, self.sides[0].expression()).otherwise(self.sides[1].expression())
 
 
-def tree(places: DataFrame, shards: int) -> Node:
-    root = Node(0, shards)
+def tree(places: DataFrame, room: list[float]) -> Node:
+    """The tree over documents that are given no shard, by the room of each shard."""
+    root, places = Node(0, len(room)), places.filter("given is null")
     while open_ := {n.first: n for n in root.leaves() if n.count > 1}:
         rows = places.withColumn("node", root.expression())
         found = {r.node: r for r in rows.groupBy("node").agg(F.sum("size").alias("size"), *(F.min(f"c{k}").alias(f"lo{k}") for k in range(4)), *(F.max(f"c{k}").alias(f"hi{k}") for k in range(4))).collect()}
@@ -91,7 +120,9 @@ def tree(places: DataFrame, shards: int) -> Node:
             r = found.get(first)
             node.axis = max(range(4), key=lambda k: (r[f"hi{k}"] - r[f"lo{k}"], -k)) if r else 0
             lo, hi = (r[f"lo{node.axis}"], r[f"hi{node.axis}"] + 1) if r else (0, 1)
-            part = node.count // 2 / node.count
+            half = node.count // 2
+            left, right = (sum(room[a : a + n]) for a, n in ((first, half), (first + half, node.count - half)))
+            part = left / (left + right) if left + right else half / node.count
             cuts[first] = {"lo": lo, "hi": hi, "want": (r.size if r else 0) * part, "close": (r.size if r else 0) / node.count * CLOSE, "below": 0, "done": hi - lo < 2}
         while live := {k: c for k, c in cuts.items() if not c["done"]}:
             narrow(rows, open_, live)
@@ -132,10 +163,11 @@ def narrow(rows: DataFrame, nodes: dict[int, Node], cuts: dict[int, dict]) -> No
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot."""
-    places = placed(docs, shards)
-    count = places.count()
+    places, held = placed(docs, shards)
+    count, size = places.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     buckets = max(8, -(-count // (shards * NUMBERED)))
-    rows = places.select("doc_id", "rid", "size", "text_crc32", tree(places, shards).expression().cast("int").alias("shard"), F.pmod(F.xxhash64("rid", "size"), F.lit(buckets)).alias("bucket"))
+    leaf = tree(places, [max(size / shards - h, 0.0) for h in held]).expression().cast("int")
+    rows = places.select("doc_id", "rid", "size", "text_crc32", F.coalesce("given", leaf).alias("shard"), F.pmod(F.xxhash64("rid", "size"), F.lit(buckets)).alias("bucket"))
     rows = materialized(rows, "shards")
     sums = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = sums.select("shard", "bucket", (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))

@@ -419,6 +419,28 @@ def whole_shards(got, count):
         assert sorted(own.slot) == list(range(len(own)))
 
 
+def test_groups_fill_shards_where_they_fit():
+    assert kd_shards.pinned([9, 7, 4, 3, 3, 2], 3, 10.0) == ([0, 1, 2, 1, 2, 2], [9, 10, 9])
+    assert kd_shards.pinned([12, 10, 6, 6], 2, 10.0) == ([None, 0, 1, None], [10, 6])
+    assert kd_shards.pinned([], 2, 0.0) == ([], [0, 0])
+
+
+def test_groups_of_equal_texts_stay_whole_up_to_a_shard(spark):
+    rng = random.Random(3)
+    shards, room = 6, 100_000
+    groups = {"a": 1.5, "b": 0.9, "c": 0.7, "d": 0.5, "e": 0.3, "f": 0.1, "g": 0.05}
+    texts = [name * 92 for name, part in groups.items() for _ in range(int(part * room / 100))]
+    texts += ["".join(rng.choices("hijklm", k=192)) for _ in range((shards * room - 100 * len(texts)) // 200)]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame([(k, t, rng.choice("xyz"), rng.choice("uv"), len(t)) for k, t in enumerate(texts)], "doc_id long, text string, source string, lang string, n_chars long")
+    got = kd_shards.sharded(docs, shards).toPandas()
+    whole_shards(got, shards)
+    sizes = got.groupby("shard")["size"].sum()
+    assert len(got) == len(texts) and len(sizes) == shards and sizes.max() < 1.02 * sizes.min()
+    of = {name: {s for d, s in zip(got.doc_id, got.shard, strict=True) if texts[d] == name * 92} for name in groups}
+    assert [name for name in groups if len(of[name]) > 1] == ["a"]
+
+
 # 8
 
 
